@@ -33,7 +33,7 @@ def days_between(start: str, end: str) -> Column:
 
 def read_date(column: str) -> Column:
     """Date at the head of a text: ``yyyy-MM-dd`` with anything after it, or ``yyyy-MM``."""
-    text = F.trim(column)
+    text = F.trim(F.col(column).cast("string"))
     attempts = [(F.substring(text, 1, 10), "yyyy-MM-dd"), (text, "yyyy-MM-dd"), (text, "yyyy-MM")]
     return F.coalesce(*(F.try_to_date(value, pattern) for value, pattern in attempts))
 

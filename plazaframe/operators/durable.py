@@ -28,10 +28,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/plazaframe-{context.applicationId}"
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own for one intermediate table."""
+    return f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` and return a scan of what was written."""
     spark = df.sparkSession
-    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

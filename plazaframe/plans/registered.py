@@ -1,0 +1,940 @@
+"""Every query over the sample tables, next to the SQL that must give the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from plazaframe.functions import dates, text
+from plazaframe.operators import cleaning, distribution, durable, flattening, profiling, ranking, reducing, scaling, sequence
+from plazaframe.plans import business, engagement, preparation, review, user
+from plazaframe.plans.sample_tables import (
+    Tables,
+    customer_places,
+    day_text,
+    event_tips,
+    line_reviews,
+    money,
+    order_places,
+    order_users,
+    part_places,
+    roles,
+    second_text,
+    supplier_places,
+)
+from plazaframe.sinks.files import bounded_sample, write_csv, write_tables
+from plazaframe.sources.tables import Source, open_table, open_tables, parquet_sources
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a function of the sample tables under ``name``."""
+
+    def register(run: Callable[[Tables], DataFrame]):
+        QUERIES[name] = lambda spark, folder: run(Tables(spark, folder))
+        if sql:
+            ORACLES[name] = sql
+        return run
+
+    return register
+
+
+# ---- places -------------------------------------------------------------------------------
+
+
+@query(
+    "filter_group_top",
+    """SELECT o_orderpriority AS city, count(o_orderkey) AS open_business_count
+       FROM orders WHERE o_orderstatus = 'F'
+       GROUP BY o_orderpriority ORDER BY open_business_count DESC, city LIMIT 10""",
+)
+def _(t: Tables) -> DataFrame:
+    places = roles(
+        t.orders, business_id="o_orderkey", city="o_orderpriority", is_open=text.flag(F.col("o_orderstatus") == "F")
+    )
+    return business.cities_by_open_places(places)
+
+
+@query(
+    "topk_per_group_rank",
+    """SELECT * FROM (
+         SELECT c_mktsegment AS state, c_name AS name, o_orderpriority AS city, c_acctbal AS stars,
+                o_totalprice AS review_count,
+                rank() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC) AS rank_in_state
+         FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus <> 'P')
+       WHERE rank_in_state <= 5""",
+)
+def top_orders_per_segment(t: Tables) -> DataFrame:
+    return business.most_reviewed_per_state(order_places(t))
+
+
+@query(
+    "join_group_avg",
+    """SELECT r_name AS state, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS avg_review_stars,
+              count(l_orderkey) AS total_reviews
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+            JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+       GROUP BY r_name""",
+)
+def _(t: Tables) -> DataFrame:
+    return business.stars_per_state(supplier_places(t), line_reviews(t))
+
+
+@query(
+    "join_group_having_top",
+    """SELECT s_suppkey AS business_id, s_name AS name, n_name AS city, count(l_orderkey) AS total_reviews,
+              CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS avg_stars
+       FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+            JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+       WHERE r_name = 'ASIA' GROUP BY s_suppkey, s_name, n_name HAVING count(l_orderkey) >= 100
+       ORDER BY total_reviews DESC, business_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    return business.most_reviewed_in_state(supplier_places(t), line_reviews(t), state="ASIA")
+
+
+@query(
+    "group_avg_delta",
+    """WITH means AS (
+         SELECT s_nationkey AS k, CAST(sum(CAST(s_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(s_acctbal) AS m
+         FROM supplier GROUP BY s_nationkey)
+       SELECT s_name AS name, n_name AS city, r_name AS state, s_acctbal AS stars, m AS city_avg_stars,
+              s_acctbal - m AS diff_from_city_avg
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+            JOIN means ON k = s_nationkey
+       ORDER BY diff_from_city_avg DESC, s_suppkey LIMIT 30""",
+)
+def _(t: Tables) -> DataFrame:
+    return business.stars_against_city(supplier_places(t)).withColumn("stars", F.col("stars").cast("double"))
+
+
+@query(
+    "multi_predicate_contains",
+    """SELECT p_name AS name, p_brand AS city, p_type AS state, p_retailprice AS stars, p_size AS review_count
+       FROM part WHERE p_type <> 'ECONOMY' AND p_retailprice >= 905 AND p_size >= 10 AND contains(p_name, 'red')""",
+)
+def _(t: Tables) -> DataFrame:
+    return business.top_open_restaurants(part_places(t), min_stars=905, min_reviews=10, category="red")
+
+
+@query(
+    "multi_predicate_token",
+    """SELECT p_name AS name, p_brand AS city, p_type AS state, p_retailprice AS stars, p_size AS review_count
+       FROM part WHERE p_type <> 'ECONOMY' AND p_retailprice >= 905 AND p_size >= 10
+         AND list_contains(string_split(p_name, ' '), 'ring')""",
+)
+def _(t: Tables) -> DataFrame:
+    places = part_places(t)
+    return business.top_open_restaurants(places, min_stars=905, min_reviews=10, category="ring", whole_category=True)
+
+
+# ---- users --------------------------------------------------------------------------------
+
+
+@query(
+    "nonempty_threshold_top",
+    """SELECT source AS name, quality AS review_count, n_chars AS fans, toxic AS average_stars, quality AS useful
+       FROM documents JOIN labels USING (doc_id)
+       WHERE lang IS NOT NULL AND lang <> '' AND n_chars >= 100 AND quality >= 1
+       ORDER BY n_chars DESC, doc_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    users = roles(
+        t.documents.join(t.labels, "doc_id"),
+        user_id="doc_id",
+        name="source",
+        elite="lang",
+        fans="n_chars",
+        review_count="quality",
+        average_stars="toxic",
+        useful="quality",
+    )
+    return user.top_elite_users(users, min_fans=100, min_reviews=1)
+
+
+@query(
+    "cohort_stats_by_year",
+    """SELECT year(o_orderdate) AS join_year, count(o_orderkey) AS user_count,
+              CAST(sum(o_custkey) AS DOUBLE) / count(o_custkey) AS avg_reviews,
+              CAST(sum(o_orderkey) AS DOUBLE) / count(o_orderkey) AS avg_fans,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS avg_rating_given,
+              CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS avg_useful_votes
+       FROM orders GROUP BY year(o_orderdate)""",
+)
+def _(t: Tables) -> DataFrame:
+    return user.stats_by_join_year(order_users(t))
+
+
+@query(
+    "cohort_topk",
+    """SELECT name, join_year, useful, review_count, fans, rank_in_cohort FROM (
+         SELECT o_orderpriority AS name, year(o_orderdate) AS join_year, o_totalprice AS useful, o_custkey AS review_count,
+                o_orderkey AS fans, rank() OVER (PARTITION BY year(o_orderdate) ORDER BY o_totalprice DESC) AS rank_in_cohort
+         FROM orders) WHERE rank_in_cohort <= 5""",
+)
+def _(t: Tables) -> DataFrame:
+    found = user.most_useful_per_join_year(order_users(t))
+    return found.withColumn("useful", F.col("useful").cast("double"))
+
+
+@query(
+    "activity_rollup_join",
+    """SELECT user_id, tip_count, total_compliments_on_tips, c_name AS name, c_nationkey AS review_count, c_acctbal AS fans
+       FROM (SELECT user_id, count(props) AS tip_count,
+                    CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_compliments_on_tips
+             FROM events GROUP BY user_id) JOIN customer ON user_id = c_custkey
+       ORDER BY tip_count DESC, user_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    users = roles(t.customer, user_id="c_custkey", name="c_name", review_count="c_nationkey", fans="c_acctbal")
+    found = user.top_tip_writers(users, event_tips(t))
+    return found.withColumn("total_compliments_on_tips", F.col("total_compliments_on_tips").cast("double"))
+
+
+@query(
+    "filtered_fact_join_dim",
+    """SELECT p_name AS name, l_suppkey AS business_id, l_quantity AS stars, l_extendedprice AS useful, l_discount AS funny,
+              l_tax AS cool, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date
+       FROM lineitem JOIN part ON l_partkey = p_partkey
+       WHERE l_quantity >= 20 AND l_extendedprice >= 5000 AND p_type <> ''
+       ORDER BY useful DESC, l_orderkey, name, business_id, stars, funny, cool, date LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    users = roles(t.part, user_id="p_partkey", name="p_name", elite="p_type")
+    found = user.useful_reviews_by_elite_users(users, line_reviews(t), min_stars=20, min_useful=5000)
+    return found.withColumn("stars", F.col("stars").cast("double"))
+
+
+@query(
+    "percent_rank_global",
+    """SELECT o_orderkey, o_totalprice, percent_rank() OVER (ORDER BY o_totalprice DESC) AS percentile_rank FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    return ranking.percent_rank_over_all(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "percentile_rank")
+
+
+@query(
+    "percent_rank_ties",
+    """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, percent_rank() OVER (ORDER BY l_quantity DESC) AS percentile_rank
+       FROM lineitem""",
+)
+def _(t: Tables) -> DataFrame:
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
+    return ranking.percent_rank_over_all(lines, "l_quantity", "percentile_rank")
+
+
+@query(
+    "percent_rank_top",
+    """SELECT l_returnflag AS name, l_partkey AS fans, l_suppkey AS review_count,
+              l_quantity + l_linenumber AS total_compliments,
+              percent_rank() OVER (ORDER BY l_quantity + l_linenumber DESC) AS percentile_rank
+       FROM lineitem WHERE l_quantity + l_linenumber > 0
+       ORDER BY total_compliments DESC, l_orderkey, name, fans, review_count LIMIT 30""",
+)
+def _(t: Tables) -> DataFrame:
+    users = roles(
+        t.lineitem,
+        user_id="l_orderkey",
+        name="l_returnflag",
+        fans="l_partkey",
+        review_count="l_suppkey",
+        likes="l_quantity",
+        notes="l_linenumber",
+    )
+    return user.compliment_percentiles(users, compliments=["likes", "notes"])
+
+
+# ---- reviews ------------------------------------------------------------------------------
+
+
+@query(
+    "sum_predicate_top",
+    """SELECT l_orderkey AS review_id, l_suppkey AS business_id, l_partkey AS user_id, l_quantity AS stars,
+              l_extendedprice AS useful, l_discount AS funny, l_tax AS cool, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date
+       FROM lineitem WHERE l_extendedprice + l_discount + l_tax > 1000 AND l_quantity >= 4
+       ORDER BY useful DESC, review_id, business_id, user_id, stars, funny, cool, date LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    found = review.highly_voted_reviews(line_reviews(t), more_than=1000)
+    return found.withColumn("stars", F.col("stars").cast("double"))
+
+
+@query(
+    "monthly_volume",
+    """SELECT strftime(l_shipdate, '%Y-%m') AS year_month, count(l_orderkey) AS review_count,
+              CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS avg_stars
+       FROM lineitem GROUP BY strftime(l_shipdate, '%Y-%m')""",
+)
+def _(t: Tables) -> DataFrame:
+    return review.reviews_by_month(line_reviews(t))
+
+
+@query(
+    "latest_per_key",
+    """SELECT o_custkey AS business_id, o_orderkey AS review_id, o_custkey AS user_id, o_totalprice AS stars,
+              CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, 1 AS recency_rank
+       FROM orders
+       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey) = 1
+       ORDER BY date, business_id LIMIT 30""",
+)
+def _(t: Tables) -> DataFrame:
+    reviews = roles(
+        t.orders,
+        business_id="o_custkey",
+        review_id="o_orderkey",
+        user_id="o_custkey",
+        stars="o_totalprice",
+        date=day_text("o_orderdate"),
+    )
+    return review.latest_review_per_place(reviews)
+
+
+@query(
+    "latest_per_key_all",
+    """SELECT o_custkey, o_orderkey, o_totalprice FROM orders
+       QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1""",
+)
+def _(t: Tables) -> DataFrame:
+    newest = ranking.latest_per_key(t.orders, ["o_custkey"], "o_orderdate", ["o_orderkey"])
+    return newest.select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+@query(
+    "top_entities_with_avg",
+    """SELECT business_id, total_reviews, avg_review_stars, s_name AS name, n_name AS city, r_name AS state, s_acctbal AS stars
+       FROM (SELECT l_suppkey AS business_id, count(l_orderkey) AS total_reviews,
+                    CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity) AS avg_review_stars
+             FROM lineitem GROUP BY l_suppkey)
+            JOIN supplier ON business_id = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+            JOIN region ON n_regionkey = r_regionkey
+       WHERE total_reviews >= 50 ORDER BY total_reviews DESC, business_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    found = review.most_reviewed_places(supplier_places(t), line_reviews(t))
+    return found.withColumn("stars", F.col("stars").cast("double"))
+
+
+_PART_REVIEWS = """SELECT p_name AS name, p_brand AS city, p_type AS state, l_quantity AS stars, l_extendedprice AS useful,
+              l_discount AS funny, l_tax AS cool, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date
+       FROM lineitem JOIN part ON l_partkey = p_partkey
+       WHERE l_quantity = 50 AND {about}
+       ORDER BY useful DESC, l_orderkey, name, city, state, stars, funny, cool, date LIMIT 30"""
+
+
+@query("token_join_top", _PART_REVIEWS.format(about="contains(p_name, 'red')"))
+def _(t: Tables) -> DataFrame:
+    found = review.five_star_food_reviews(part_places(t), line_reviews(t, "l_partkey"), category="red", stars=50)
+    return found.withColumn("stars", F.col("stars").cast("double"))
+
+
+@query("token_join_exact", _PART_REVIEWS.format(about="list_contains(string_split(p_name, ' '), 'ring')"))
+def _(t: Tables) -> DataFrame:
+    found = review.five_star_food_reviews(
+        part_places(t), line_reviews(t, "l_partkey"), category="ring", stars=50, whole_category=True
+    )
+    return found.withColumn("stars", F.col("stars").cast("double"))
+
+
+@query(
+    "running_count_head",
+    """SELECT user_id AS business_id, event_id AS review_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS date,
+              value AS stars,
+              count(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS cumulative_reviews
+       FROM events ORDER BY user_id, ts, event_id LIMIT 30""",
+)
+def _(t: Tables) -> DataFrame:
+    reviews = roles(t.events, business_id="user_id", review_id="event_id", date="ts", stars="value")
+    return review.cumulative_reviews(reviews).withColumn("date", second_text("date"))
+
+
+@query(
+    "running_count",
+    """SELECT event_id, user_id, count(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id
+              ROWS UNBOUNDED PRECEDING) AS cumulative FROM events""",
+)
+def _(t: Tables) -> DataFrame:
+    visits = t.events.select("user_id", "ts", "event_id")
+    return sequence.running_count(visits, ["user_id"], ["ts"], "event_id", "cumulative").drop("ts")
+
+
+@query(
+    "running_count_hot_key",
+    """SELECT event_id, event_type, count(nullif(user_id, 8)) OVER (PARTITION BY event_type ORDER BY ts, event_id
+              ROWS UNBOUNDED PRECEDING) AS cumulative FROM events""",
+)
+def _(t: Tables) -> DataFrame:
+    """Five types share all events, so each counts as hot and is split."""
+    visits = t.events.select("event_type", "ts", "event_id", F.nullif("user_id", F.lit(8)).alias("counted"))
+    found = sequence.running_count(
+        visits, ["event_type"], ["ts", "event_id"], "counted", "cumulative", hot_rows=10, slices=16
+    )
+    return found.select("event_id", "event_type", "cumulative")
+
+
+# ---- tips, check-ins, photos --------------------------------------------------------------
+
+
+@query(
+    "recent_threshold_top",
+    """SELECT user_id, user_id AS business_id, value AS compliment_count,
+              strftime(ts, '%Y-%m-%d %H:%M:%S') AS date, props AS text
+       FROM events WHERE value >= 3 AND ts >= TIMESTAMP '2024-01-15'
+       ORDER BY value DESC, user_id, date, text LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    found = engagement.recent_popular_tips(event_tips(t), since="2024-01-15")
+    return found.withColumn("compliment_count", F.col("compliment_count").cast("double"))
+
+
+@query(
+    "list_cardinality_sum",
+    """SELECT doc_id AS business_id, sum(CASE WHEN trim(d.text) <> ''
+                THEN length(d.text) - length(replace(d.text, ',', '')) + 1 ELSE 0 END)::BIGINT AS total_checkins,
+              any_value(d.source) AS name, any_value(d.lang) AS city, any_value(CAST(toxic AS VARCHAR)) AS state,
+              any_value(quality) AS is_open
+       FROM documents d JOIN labels USING (doc_id) GROUP BY doc_id ORDER BY total_checkins DESC, doc_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    """Documents as lists: their commas separate the entries, whole texts are read."""
+    places = roles(
+        t.documents.drop("text").join(t.labels, "doc_id"),
+        business_id="doc_id",
+        name="source",
+        city="lang",
+        state=F.col("toxic").cast("string"),
+        is_open="quality",
+    )
+    return engagement.most_visited_places(roles(t.documents, business_id="doc_id", date="text"), places)
+
+
+@query(
+    "agg_join_topk_group",
+    """SELECT city, state, name, tip_count, rank_in_city FROM (
+         SELECT n_name AS city, r_name AS state, s_name AS name, s_suppkey, tip_count,
+                rank() OVER (PARTITION BY n_name ORDER BY tip_count DESC) AS rank_in_city
+         FROM (SELECT l_suppkey, count(l_returnflag) AS tip_count FROM lineitem GROUP BY l_suppkey)
+              JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+              JOIN region ON n_regionkey = r_regionkey)
+       WHERE rank_in_city <= 3 ORDER BY city, rank_in_city, s_suppkey LIMIT 60""",
+)
+def _(t: Tables) -> DataFrame:
+    tips = roles(t.lineitem, business_id="l_suppkey", text="l_returnflag")
+    return engagement.most_tipped_per_city(tips, supplier_places(t))
+
+
+@query(
+    "three_way_counts",
+    """SELECT c_custkey AS business_id, tip_count, photo_count, c_name AS name, n_name AS city, c_mktsegment AS state,
+              c_acctbal AS stars
+       FROM (SELECT user_id, count(props) AS tip_count FROM events GROUP BY user_id)
+            JOIN (SELECT o_custkey, count(o_orderkey) AS photo_count FROM orders GROUP BY o_custkey) ON user_id = o_custkey
+            JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey
+       ORDER BY tip_count DESC, business_id LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    photos = roles(t.orders, photo_id="o_orderkey", business_id="o_custkey")
+    return engagement.places_with_tips_and_photos(event_tips(t), photos, customer_places(t))
+
+
+@query(
+    "quality_join_having",
+    """SELECT c_name AS name, n_name AS city, c_mktsegment AS state, c_acctbal AS stars, c_nationkey AS review_count, tip_count
+       FROM (SELECT user_id, count(props) AS tip_count FROM events GROUP BY user_id)
+            JOIN customer ON c_custkey = user_id JOIN nation ON c_nationkey = n_nationkey
+       WHERE c_mktsegment <> 'BUILDING' AND c_acctbal >= 1000 AND tip_count >= 5
+       ORDER BY tip_count DESC, c_custkey LIMIT 20""",
+)
+def _(t: Tables) -> DataFrame:
+    return engagement.good_places_with_tips(event_tips(t), customer_places(t), min_stars=1000, min_tips=5)
+
+
+@query(
+    "gap_days",
+    """SELECT user_id, event_id AS business_id, CAST(d AS VARCHAR) AS date, CAST(p AS VARCHAR) AS prev_tip_date,
+              date_diff('day', p, d) AS days_since_prev_tip
+       FROM (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY d, event_id) AS p
+             FROM (SELECT user_id, event_id, CAST(ts AS DATE) AS d FROM events))
+       WHERE p IS NOT NULL ORDER BY user_id, d, event_id LIMIT 30""",
+)
+def _(t: Tables) -> DataFrame:
+    return engagement.tip_gaps(roles(t.events, user_id="user_id", business_id="event_id", date=day_text("ts")))
+
+
+@query(
+    "previous_value_all",
+    """SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous FROM events""",
+)
+def _(t: Tables) -> DataFrame:
+    visits = t.events.select("event_id", "user_id", "ts", "value")
+    found = sequence.previous_value(visits, ["user_id"], ["ts", "event_id"], "value", "previous")
+    return found.select("event_id", "user_id", "previous")
+
+
+@query(
+    "previous_value_hot_key",
+    """SELECT event_id, event_type, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS previous FROM events""",
+)
+def _(t: Tables) -> DataFrame:
+    visits = t.events.select("event_id", "event_type", "ts", "value")
+    found = sequence.previous_value(
+        visits, ["event_type"], ["ts", "event_id"], "value", "previous", hot_rows=10, slices=16
+    )
+    return found.select("event_id", "event_type", "previous")
+
+
+# ---- profiling ----------------------------------------------------------------------------
+
+
+def gappy_lines(t: Tables) -> DataFrame:
+    """Order lines with some values taken out; the SQL beside takes out the same ones."""
+    return t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.nullif("l_quantity", F.lit(7.0)).alias("l_quantity"),
+        F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"),
+        F.nullif("l_suppkey", F.lit(3)).alias("l_suppkey"),
+    )
+
+
+_GAPPY = """(SELECT l_orderkey, l_linenumber, nullif(l_quantity, 7) AS l_quantity,
+                    nullif(l_returnflag, 'R') AS l_returnflag, nullif(l_suppkey, 3) AS l_suppkey FROM lineitem)"""
+
+
+@query(
+    "null_report",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) - count({c}) AS null_count,
+                   round((count(*) - count({c})) / count(*), 6) AS null_fraction, 'lineitem' AS "table" FROM {_GAPPY}"""
+        for c in ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_suppkey"]
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return profiling.null_report(gappy_lines(t), "lineitem")
+
+
+@query(
+    "numeric_stats",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", min({c})::DOUBLE AS min, max({c})::DOUBLE AS max, round(avg({c}), 4) AS mean,
+                   round(stddev_samp({c}), 4) AS stddev FROM {_GAPPY}"""
+        for c in ["l_orderkey", "l_linenumber", "l_quantity", "l_suppkey"]
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return profiling.numeric_stats(gappy_lines(t))
+
+
+@query(
+    "string_distinct",
+    """SELECT 'text' AS "column", count(*) AS distinct_count FROM (SELECT DISTINCT text FROM documents)
+       UNION ALL SELECT 'lang', count(*) FROM (SELECT DISTINCT nullif(lang, 'de') FROM documents)
+       UNION ALL SELECT 'source', count(*) FROM (SELECT DISTINCT source FROM documents)""",
+)
+def _(t: Tables) -> DataFrame:
+    return profiling.string_distinct(t.documents.withColumn("lang", F.nullif("lang", F.lit("de"))))
+
+
+@query(
+    "duplicate_report",
+    """SELECT 'lineitem' AS "table", count(*) AS total_rows,
+              count(DISTINCT (l_orderkey, l_linenumber)) AS distinct_key_rows,
+              count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS duplicate_rows, 'l_orderkey,l_linenumber' AS keys
+       FROM lineitem
+       UNION ALL SELECT 'orders', count(*), count(DISTINCT o_orderkey), count(*) - count(DISTINCT o_orderkey), 'o_orderkey'
+       FROM orders
+       UNION ALL SELECT 'region', count(*), count(*), 0, NULL FROM region""",
+)
+def _(t: Tables) -> DataFrame:
+    frames = {"lineitem": t.lineitem, "orders": t.orders, "region": t.region}
+    return profiling.duplicate_reports(frames, {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"]})
+
+
+@query(
+    "overview",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "table", count(*) AS rows, {n} AS columns FROM {name}"""
+        for name, n in {"lineitem": 11, "orders": 6, "events": 6, "documents": 5, "pages": 3, "conversations": 4}.items()
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return profiling.overview({n: getattr(t, n) for n in ("lineitem", "orders", "events", "documents", "pages", "conversations")})
+
+
+_SUMMARIES = {
+    "count": "count({c})",
+    "mean": "round(avg({c}), 6)",
+    "stddev": "round(stddev_samp({c}), 6)",
+    "min": "min({c})",
+    "25%": "quantile_disc({c}, 0.25)",
+    "50%": "quantile_disc({c}, 0.5)",
+    "75%": "quantile_disc({c}, 0.75)",
+    "max": "max({c})",
+}
+
+
+@query(
+    "describe",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, ({sql.format(c='p_size')})::DOUBLE AS p_size, "
+        f"({sql.format(c='length(p_name)')})::DOUBLE AS name_length FROM part"
+        for name, sql in _SUMMARIES.items()
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    found = profiling.describe_numbers(t.part.select("p_size", F.length("p_name").alias("name_length")))
+    return found.select("summary", *(F.round(F.col(c).cast("double"), 6).alias(c) for c in ("p_size", "name_length")))
+
+
+@query(
+    "validation_report",
+    """SELECT 'lineitem' AS "table", '' AS "column", 'rows' AS metric, count(*)::DOUBLE AS value FROM lineitem
+       UNION ALL SELECT 'lineitem', '', 'columns', 5
+       """
+    + "".join(
+        f"""UNION ALL SELECT 'lineitem', '{c}', 'null_count', count(*) - count({c}) FROM {_GAPPY}
+            UNION ALL SELECT 'lineitem', '{c}', 'null_percentage', round((count(*) - count({c})) * 100.0 / count(*), 2) FROM {_GAPPY}
+            """
+        for c in ["l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_suppkey"]
+    )
+    + "".join(
+        f"UNION ALL SELECT 'lineitem', '{c}', '{k}', ({sql.format(c=c)})::DOUBLE FROM {_GAPPY}\n"
+        for c in ["l_orderkey", "l_linenumber", "l_quantity", "l_suppkey"]
+        for k, sql in {
+            "min": "min({c})",
+            "max": "max({c})",
+            "mean": "round(avg({c}), 4)",
+            "stddev": "round(stddev_samp({c}), 4)",
+        }.items()
+    )
+    + f"""UNION ALL SELECT 'lineitem', 'l_returnflag', 'distinct_count', count(*)
+          FROM (SELECT DISTINCT l_returnflag FROM {_GAPPY})""",
+)
+def _(t: Tables) -> DataFrame:
+    report = profiling.validation_report(gappy_lines(t), "lineitem")
+    return report.filter(F.col("metric") != "type").select(
+        "table", F.coalesce("column", F.lit("")).alias("column"), "metric", F.col("value").cast("double").alias("value")
+    )
+
+
+@query(
+    "impact",
+    """SELECT 'lineitem' AS "table", raw_rows, proc_rows, proc_rows - raw_rows AS delta_rows, 11 AS raw_cols, 4 AS proc_cols,
+              -7 AS delta_cols, 1 AS added_cols, 8 AS removed_cols
+       FROM (SELECT count(*) AS raw_rows, count(*) FILTER (l_quantity > 10) AS proc_rows FROM lineitem)""",
+)
+def _(t: Tables) -> DataFrame:
+    large = t.lineitem.filter("l_quantity > 10").selectExpr("l_orderkey", "l_linenumber", "l_quantity", "l_tax * 2 AS twice")
+    return profiling.impact({"lineitem": t.lineitem}, {"lineitem": large})
+
+
+@query(
+    "quartiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", quantile_disc({c}, 0.25)::DOUBLE AS q1, quantile_disc({c}, 0.5)::DOUBLE AS median,
+                   quantile_disc({c}, 0.75)::DOUBLE AS q3 FROM orders"""
+        for c in ["o_custkey", "o_totalprice"]
+    ),
+)
+def _(t: Tables) -> DataFrame:
+    return distribution.quartiles(t.orders, ["o_custkey", "o_totalprice"], relative_error=1e-6)
+
+
+@query(
+    "histogram",
+    """WITH e AS (SELECT min(o_totalprice) AS low, max(o_totalprice) AS high,
+                         CAST(least(40, greatest(10, floor(sqrt(count(*))))) AS INTEGER) AS bins FROM orders),
+            b AS (SELECT CAST(least(floor((o_totalprice - low) / ((high - low) / bins)), bins - 1) AS INTEGER) AS bin,
+                         low, (high - low) / bins AS width FROM orders, e)
+       SELECT bin, low + bin * width AS low, low + (bin + 1) * width AS high, CAST(NULL AS VARCHAR) AS value,
+              count(*) AS count FROM b GROUP BY bin, low, width""",
+)
+def _(t: Tables) -> DataFrame:
+    return distribution.distribution(t.orders, "o_totalprice")
+
+
+@query(
+    "value_counts",
+    """SELECT CAST(year(o_orderdate) AS VARCHAR) AS value, count(*) AS count FROM orders GROUP BY year(o_orderdate)""",
+)
+def _(t: Tables) -> DataFrame:
+    return distribution.distribution(t.orders.select(F.year("o_orderdate").alias("y")), "y").select("value", "count")
+
+
+# ---- preparation --------------------------------------------------------------------------
+
+
+def gappy_parts(t: Tables) -> DataFrame:
+    return t.part.select(
+        "p_partkey",
+        F.nullif("p_size", F.lit(3)).alias("p_size"),
+        F.nullif("p_type", F.lit("PROMO")).alias("p_type"),
+        "p_retailprice",
+    )
+
+
+_GAPPY_PARTS = """(SELECT p_partkey, nullif(p_size, 3) AS p_size, nullif(p_type, 'PROMO') AS p_type, p_retailprice FROM part)"""
+
+
+@query(
+    "impute_median",
+    f"""SELECT p_partkey, coalesce(p_size, (SELECT quantile_disc(p_size, 0.5) FROM {_GAPPY_PARTS})) AS p_size,
+               coalesce(p_type, 'Unknown') AS p_type, p_retailprice FROM {_GAPPY_PARTS}""",
+)
+def _(t: Tables) -> DataFrame:
+    return cleaning.impute(gappy_parts(t), ["p_partkey"], relative_error=1e-6)
+
+
+@query(
+    "impute_mean",
+    f"""SELECT p_partkey, coalesce(p_size, (SELECT CAST(trunc(avg(p_size)) AS INTEGER) FROM {_GAPPY_PARTS})) AS p_size,
+               coalesce(p_type, 'Unknown') AS p_type, p_retailprice FROM {_GAPPY_PARTS}""",
+)
+def _(t: Tables) -> DataFrame:
+    return cleaning.impute(gappy_parts(t), ["p_partkey"], "mean")
+
+
+@query(
+    "drop_null_keys",
+    f"SELECT l_orderkey, l_linenumber, l_suppkey FROM {_GAPPY} WHERE l_suppkey IS NOT NULL",
+)
+def _(t: Tables) -> DataFrame:
+    lines = gappy_lines(t).select("l_orderkey", "l_linenumber", "l_suppkey")
+    return cleaning.without_null_keys(lines, ["l_orderkey", "l_suppkey"])
+
+
+@query(
+    "dropna_any",
+    f"""SELECT * FROM {_GAPPY} WHERE l_quantity IS NOT NULL AND l_returnflag IS NOT NULL AND l_suppkey IS NOT NULL""",
+)
+def _(t: Tables) -> DataFrame:
+    return cleaning.complete_rows(gappy_lines(t))
+
+
+@query(
+    "dedup_by_key",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+              CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate
+       FROM lineitem
+       QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+         ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) = 1""",
+)
+def _(t: Tables) -> DataFrame:
+    kept = cleaning.deduplicate(t.lineitem, ["l_orderkey", "l_linenumber"])
+    return kept.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", day_text("l_shipdate").alias("l_shipdate")
+    )
+
+
+@query(
+    "map_flatten",
+    """SELECT event_id, json_extract_string(props, '$.k') AS prop_k, json_extract_string(props, '$.absent') AS prop_absent,
+              len(json_keys(props)) AS prop_count FROM events""",
+)
+def _(t: Tables) -> DataFrame:
+    mapped = t.events.select("event_id", F.from_json("props", T.MapType(T.StringType(), T.StringType())).alias("m"))
+    wide = flattening.map_to_columns(mapped, "m", flattening.key_columns(["k", "absent"], "prop_"))
+    return wide.withColumn("prop_count", text.map_size("m")).drop("m")
+
+
+@query(
+    "token_count_flag",
+    """SELECT doc_id, n AS friend_count, n AS elite_count, CASE WHEN n > 0 THEN 1 ELSE 0 END AS is_elite FROM (
+         SELECT doc_id, len(list_filter(string_split(text, ','),
+                  lambda x: trim(x) <> '' AND lower(trim(x)) NOT IN ('none', 'unknown'))) AS n
+         FROM documents)""",
+)
+def _(t: Tables) -> DataFrame:
+    listed = t.documents.select("doc_id", F.col("text").alias("friends"), F.col("text").alias("elite"))
+    return flattening.flatten_users(listed).drop("friends", "elite")
+
+
+@query(
+    "screen_constants",
+    """SELECT c AS "column" FROM (
+         SELECT 'fixed' AS c UNION ALL SELECT 'empty' UNION ALL
+         SELECT 'p_size' FROM part HAVING count(DISTINCT p_size) <= 1 UNION ALL
+         SELECT 'p_brand' FROM part HAVING count(DISTINCT p_brand) <= 1 UNION ALL
+         SELECT 'promo' FROM part HAVING count(DISTINCT CASE WHEN p_type = 'PROMO' THEN 'yes' END) <= 1)""",
+)
+def _(t: Tables) -> DataFrame:
+    parts = t.part.select(
+        "p_partkey",
+        "p_size",
+        "p_brand",
+        F.lit("x").alias("fixed"),
+        F.lit(None).cast("double").alias("empty"),
+        F.when(F.col("p_type") == "PROMO", "yes").alias("promo"),
+    )
+    dull = scaling.constant_columns(parts)
+    return t.spark.createDataFrame([(c,) for c in dull], "column string")
+
+
+@query(
+    "minmax_scale",
+    """SELECT p_partkey, p_type, round((p_size - lo) / (hi - lo)::DOUBLE, 8) AS p_size,
+              round((p_retailprice - plo) / (phi - plo), 8) AS p_retailprice, 0.0::DOUBLE AS same
+       FROM part, (SELECT min(p_size) AS lo, max(p_size) AS hi, min(p_retailprice) AS plo, max(p_retailprice) AS phi FROM part)""",
+)
+def _(t: Tables) -> DataFrame:
+    parts = t.part.select("p_partkey", "p_type", "p_size", "p_retailprice", F.lit(5).alias("same"))
+    scaled = scaling.scale(parts, "minmax", exclude=["p_partkey"])
+    return scaled.withColumns({c: F.round(c, 8) for c in ("p_size", "p_retailprice")})
+
+
+@query(
+    "standard_scale",
+    """SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS o_totalprice, round((o_custkey - cm) / cs, 6) AS o_custkey
+       FROM orders, (SELECT avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS s, avg(o_custkey) AS cm,
+                            stddev_samp(o_custkey) AS cs FROM orders)""",
+)
+def _(t: Tables) -> DataFrame:
+    scaled = scaling.scale(t.orders.select("o_orderkey", "o_totalprice", "o_custkey"), "standard", exclude=["o_orderkey"])
+    return scaled.withColumns({c: F.round(c, 6) for c in ("o_totalprice", "o_custkey")})
+
+
+@query(
+    "parse_dates",
+    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date_parsed, year(o_orderdate) AS date_year,
+              month(o_orderdate) AS date_month, dayofweek(o_orderdate) + 1 AS date_day_of_week FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    texts = t.orders.select("o_orderkey", F.col("o_orderdate").cast("string").alias("date"))
+    return dates.with_date_parts(texts).drop("date").withColumn("date_parsed", F.col("date_parsed").cast("string"))
+
+
+@query(
+    "bucketize",
+    """SELECT o_orderkey, CASE WHEN o_totalprice < 1000 OR o_totalprice > 400000 THEN NULL
+                               WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1 ELSE 2 END AS o_totalprice_bin
+       FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    binned = scaling.with_bins(t.orders.select("o_orderkey", "o_totalprice"), {"o_totalprice": [1000, 100000, 250000, 400000]})
+    return binned.drop("o_totalprice")
+
+
+def order_settings() -> preparation.Settings:
+    return preparation.Settings(
+        keys=["o_orderkey"],
+        median_error=1e-6,
+        dates=["o_orderdate"],
+        drop=["o_orderdate"],
+        prune=["o_orderpriority"],
+        scale_exclude=["o_orderkey"],
+    )
+
+
+def raw_orders(t: Tables) -> DataFrame:
+    """Orders listed twice over, without some prices and customers, and with a column that never varies."""
+    orders = t.orders.withColumns(
+        {
+            "o_totalprice": F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_totalprice")),
+            "o_orderstatus": F.nullif("o_orderstatus", F.lit("P")),
+            "fixed": F.lit("x"),
+        }
+    )
+    return orders.unionByName(orders)
+
+
+@query(
+    "prepare_orders",
+    """WITH filled AS (
+         SELECT o_orderkey, o_custkey, coalesce(nullif(o_orderstatus, 'P'), 'Unknown') AS o_orderstatus,
+                CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice
+                     ELSE (SELECT quantile_disc(o_totalprice, 0.5) FROM orders WHERE o_orderpriority <> '5-LOW') END AS price,
+                CAST(o_orderdate AS DATE) AS d FROM orders),
+       ends AS (SELECT min(price) AS pl, max(price) AS ph, min(o_custkey) AS cl, max(o_custkey) AS ch FROM filled)
+       SELECT o_orderkey, round((o_custkey - cl) / (ch - cl)::DOUBLE, 8) AS o_custkey, o_orderstatus,
+              round((price - pl) / (ph - pl), 8) AS o_totalprice, CAST(d AS VARCHAR) AS o_orderdate_parsed,
+              year(d) AS o_orderdate_year, month(d) AS o_orderdate_month, dayofweek(d) + 1 AS o_orderdate_day_of_week
+       FROM filled, ends""",
+)
+def _(t: Tables) -> DataFrame:
+    done = preparation.prepare(raw_orders(t), "orders", order_settings()).frame
+    return done.withColumns(
+        {
+            "o_custkey": F.round("o_custkey", 8),
+            "o_totalprice": F.round("o_totalprice", 8),
+            "o_orderdate_parsed": F.col("o_orderdate_parsed").cast("string"),
+        }
+    )
+
+
+@query(
+    "stage_audit",
+    """SELECT 'orders' AS "table", stage, position, CASE WHEN position = 0 THEN 2 * n ELSE n END AS rows, columns, added, dropped
+       FROM (SELECT count(*) AS n FROM orders), (VALUES
+         ('load', 0, 7, '', ''), ('clean', 1, 7, '', ''), ('flatten', 2, 7, '', ''), ('prune', 3, 6, '', 'o_orderpriority'),
+         ('screen', 4, 5, '', 'fixed'),
+         ('transform', 5, 8, 'o_orderdate_parsed,o_orderdate_year,o_orderdate_month,o_orderdate_day_of_week', 'o_orderdate'),
+         ('reduce', 6, 8, '', '')) AS s(stage, position, columns, added, dropped)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The audit after a round trip through the Parquet sink, whose own count closes it."""
+    prepared = {"orders": preparation.prepare(raw_orders(t), "orders", order_settings())}
+    folder = durable.new_folder(t.spark)
+    written = write_tables({n: p.frame for n, p in prepared.items()}, folder)
+    preparation.write_audit(t.spark, preparation.with_final_counts(prepared, written), f"{folder}/audit")
+    audit = preparation.read_audit(t.spark, f"{folder}/audit")
+    return audit.withColumns({c: F.array_join(c, ",") for c in ("added", "dropped")})
+
+
+@query(
+    "hash_sample",
+    """SELECT o_orderkey, o_totalprice FROM orders
+       WHERE ('0x' || substr(md5(CAST(o_orderkey AS VARCHAR)), 1, 8))::BIGINT < CAST(floor(0.3 * 4294967296) AS BIGINT)""",
+)
+def _(t: Tables) -> DataFrame:
+    return reducing.sample_by_key(t.orders.select("o_orderkey", "o_totalprice"), "o_orderkey", 0.3)
+
+
+@query("random_sample")
+def _(t: Tables) -> DataFrame:
+    return bounded_sample(t.orders, 0.3, columns=["o_orderkey", "o_totalprice"])
+
+
+@query("pca")
+def _(t: Tables) -> DataFrame:
+    found = reducing.principal_components(t.embeddings, ["embedding"], 3)
+    return found.select("vec_id", *(F.round(F.col("components")[i], 6).alias(f"c{i}") for i in range(3)))
+
+
+# ---- sources and sinks --------------------------------------------------------------------
+
+
+@query("json_scan", "SELECT event_id, user_id, event_type, value, props FROM events")
+def _(t: Tables) -> DataFrame:
+    """Events through JSON lines and a declared schema."""
+    folder = durable.new_folder(t.spark)
+    t.events.select("event_id", "user_id", "event_type", "value", "props").write.json(folder)
+    declared = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double, props string")
+    return open_table(t.spark, Source(folder, "json", declared))
+
+
+@query(
+    "csv_sink",
+    """SELECT c_mktsegment, count(*) AS customers FROM customer GROUP BY c_mktsegment""",
+)
+def _(t: Tables) -> DataFrame:
+    counted = t.customer.groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("customers")).orderBy("c_mktsegment")
+    path = write_csv(counted, durable.new_folder(t.spark), single_file=True)
+    return t.spark.read.csv(path, header=True, schema="c_mktsegment string, customers bigint")
+
+
+@query(
+    "parquet_sink",
+    """SELECT 'customer' AS "table", count(*) AS written, count(*) AS found FROM customer
+       UNION ALL SELECT 'orders', count(*), count(*) FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    folder = durable.new_folder(t.spark)
+    written = write_tables({"customer": t.customer, "orders": t.orders}, folder)
+    found = open_tables(t.spark, parquet_sources(folder, ["customer", "orders"]))
+    counted = profiling.overview(found)
+    told = t.spark.createDataFrame(list(written.items()), "table string, written bigint")
+    return told.join(counted.select("table", F.col("rows").alias("found")), "table")
