@@ -62,7 +62,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "topk_per_group_rank",
-    """SELECT * FROM (
+    """SELECT * REPLACE (CAST(rank_in_state AS INTEGER) AS rank_in_state) FROM (
          SELECT c_mktsegment AS state, c_name AS name, o_orderpriority AS city, c_acctbal AS stars,
                 o_totalprice AS review_count,
                 rank() OVER (PARTITION BY c_mktsegment ORDER BY o_totalprice DESC) AS rank_in_state
@@ -159,7 +159,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "cohort_stats_by_year",
-    """SELECT year(o_orderdate) AS join_year, count(o_orderkey) AS user_count,
+    """SELECT CAST(year(o_orderdate) AS INTEGER) AS join_year, count(o_orderkey) AS user_count,
               CAST(sum(o_custkey) AS DOUBLE) / count(o_custkey) AS avg_reviews,
               CAST(sum(o_orderkey) AS DOUBLE) / count(o_orderkey) AS avg_fans,
               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o_totalprice) AS avg_rating_given,
@@ -172,7 +172,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "cohort_topk",
-    """SELECT name, join_year, useful, review_count, fans, rank_in_cohort FROM (
+    """SELECT name, CAST(join_year AS INTEGER) AS join_year, useful, review_count, fans,
+              CAST(rank_in_cohort AS INTEGER) AS rank_in_cohort FROM (
          SELECT o_orderpriority AS name, year(o_orderdate) AS join_year, o_totalprice AS useful, o_custkey AS review_count,
                 o_orderkey AS fans, rank() OVER (PARTITION BY year(o_orderdate) ORDER BY o_totalprice DESC) AS rank_in_cohort
          FROM orders) WHERE rank_in_cohort <= 5""",
@@ -414,7 +415,7 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "agg_join_topk_group",
-    """SELECT city, state, name, tip_count, rank_in_city FROM (
+    """SELECT city, state, name, tip_count, CAST(rank_in_city AS INTEGER) AS rank_in_city FROM (
          SELECT n_name AS city, r_name AS state, s_name AS name, s_suppkey, tip_count,
                 rank() OVER (PARTITION BY n_name ORDER BY tip_count DESC) AS rank_in_city
          FROM (SELECT l_suppkey, count(l_returnflag) AS tip_count FROM lineitem GROUP BY l_suppkey)
@@ -456,7 +457,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "gap_days",
     """SELECT user_id, event_id AS business_id, CAST(d AS VARCHAR) AS date, CAST(p AS VARCHAR) AS prev_tip_date,
-              date_diff('day', p, d) AS days_since_prev_tip
+              CAST(date_diff('day', p, d) AS INTEGER) AS days_since_prev_tip
        FROM (SELECT *, lag(d) OVER (PARTITION BY user_id ORDER BY d, event_id) AS p
              FROM (SELECT user_id, event_id, CAST(ts AS DATE) AS d FROM events))
        WHERE p IS NOT NULL ORDER BY user_id, d, event_id LIMIT 30""",
@@ -557,7 +558,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "overview",
     " UNION ALL ".join(
-        f"""SELECT '{name}' AS "table", count(*) AS rows, {n} AS columns FROM {name}"""
+        f"""SELECT '{name}' AS "table", count(*) AS rows, {n}::BIGINT AS columns FROM {name}"""
         for name, n in {"lineitem": 11, "orders": 6, "events": 6, "documents": 5, "pages": 3, "conversations": 4}.items()
     ),
 )
@@ -623,8 +624,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "impact",
-    """SELECT 'lineitem' AS "table", raw_rows, proc_rows, proc_rows - raw_rows AS delta_rows, 11 AS raw_cols, 4 AS proc_cols,
-              -7 AS delta_cols, 1 AS added_cols, 8 AS removed_cols
+    """SELECT 'lineitem' AS "table", raw_rows, proc_rows, proc_rows - raw_rows AS delta_rows, 11::BIGINT AS raw_cols,
+              4::BIGINT AS proc_cols, (-7)::BIGINT AS delta_cols, 1::BIGINT AS added_cols, 8::BIGINT AS removed_cols
        FROM (SELECT count(*) AS raw_rows, count(*) FILTER (l_quantity > 10) AS proc_rows FROM lineitem)""",
 )
 def _(t: Tables) -> DataFrame:
@@ -733,7 +734,7 @@ def _(t: Tables) -> DataFrame:
 @query(
     "map_flatten",
     """SELECT event_id, json_extract_string(props, '$.k') AS prop_k, json_extract_string(props, '$.absent') AS prop_absent,
-              len(json_keys(props)) AS prop_count FROM events""",
+              CAST(len(json_keys(props)) AS INTEGER) AS prop_count FROM events""",
 )
 def _(t: Tables) -> DataFrame:
     mapped = t.events.select("event_id", F.from_json("props", T.MapType(T.StringType(), T.StringType())).alias("m"))
@@ -744,8 +745,8 @@ def _(t: Tables) -> DataFrame:
 @query(
     "token_count_flag",
     """SELECT doc_id, n AS friend_count, n AS elite_count, CASE WHEN n > 0 THEN 1 ELSE 0 END AS is_elite FROM (
-         SELECT doc_id, len(list_filter(string_split(text, ','),
-                  lambda x: trim(x) <> '' AND lower(trim(x)) NOT IN ('none', 'unknown'))) AS n
+         SELECT doc_id, CAST(len(list_filter(string_split(text, ','),
+                  lambda x: trim(x) <> '' AND lower(trim(x)) NOT IN ('none', 'unknown'))) AS INTEGER) AS n
          FROM documents)""",
 )
 def _(t: Tables) -> DataFrame:
@@ -799,8 +800,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "parse_dates",
-    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date_parsed, year(o_orderdate) AS date_year,
-              month(o_orderdate) AS date_month, dayofweek(o_orderdate) + 1 AS date_day_of_week FROM orders""",
+    """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date_parsed, year(o_orderdate)::INTEGER AS date_year,
+              month(o_orderdate)::INTEGER AS date_month, (dayofweek(o_orderdate) + 1)::INTEGER AS date_day_of_week FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
     texts = t.orders.select("o_orderkey", F.col("o_orderdate").cast("string").alias("date"))
@@ -851,7 +852,8 @@ def raw_orders(t: Tables) -> DataFrame:
        ends AS (SELECT min(price) AS pl, max(price) AS ph, min(o_custkey) AS cl, max(o_custkey) AS ch FROM filled)
        SELECT o_orderkey, round((o_custkey - cl) / (ch - cl)::DOUBLE, 8) AS o_custkey, o_orderstatus,
               round((price - pl) / (ph - pl), 8) AS o_totalprice, CAST(d AS VARCHAR) AS o_orderdate_parsed,
-              year(d) AS o_orderdate_year, month(d) AS o_orderdate_month, dayofweek(d) + 1 AS o_orderdate_day_of_week
+              year(d)::INTEGER AS o_orderdate_year, month(d)::INTEGER AS o_orderdate_month,
+              (dayofweek(d) + 1)::INTEGER AS o_orderdate_day_of_week
        FROM filled, ends""",
 )
 def _(t: Tables) -> DataFrame:
