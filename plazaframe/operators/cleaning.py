@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plazaframe.functions.columns import comparable, missing, numeric_columns, present, string_columns
+from plazaframe.functions.measures import rows
+from plazaframe.operators.durable import materialise
 from plazaframe.operators.ranking import one_per_key
+from plazaframe.operators.skew import split_rows
+
+# Keys that may be broadcast: this many take a few megabytes.
+FEW_KEYS = 100_000
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -83,8 +89,20 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | No
 
     Unlike ``dropDuplicates`` the survivor does not depend on the order of arrival.  A frame
     that lacks one of the keys is left alone.
+
+    A pass over the key columns finds the keys that occur more than once.  If there are none,
+    nothing else is done; if they are few, only their rows are shuffled; and if they are many,
+    each task first drops all but one row per key.
     """
     if not keys or present(df, keys) != list(keys):
         return df
     rest = [comparable(df, c).asc() for c in df.columns if c not in keys]
-    return one_per_key(df, keys, [*(order or []), *(rest or [F.col(keys[0]).asc()])])
+    first = [*(order or []), *(rest or [F.col(keys[0]).asc()])]
+    repeated = materialise(df.groupBy(*keys).agg(rows().alias("_n")).filter(F.col("_n") > 1).select(*keys))
+    number = repeated.count()
+    if number == 0:
+        return df
+    if number > FEW_KEYS:
+        return one_per_key(df, keys, first)
+    several, single = split_rows(df, keys, repeated)
+    return single.unionByName(one_per_key(several, keys, first))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plazaframe.functions.columns import missing
 from plazaframe.functions.measures import rows
@@ -14,6 +15,9 @@ from plazaframe.functions.measures import rows
 MOST_LEVELS = 30
 FEWEST_BINS, MOST_BINS = 10, 40
 
+# A sketch that counts this many levels cannot have been shown 30.
+SURELY_MANY = 1000
+
 
 def quartiles(df: DataFrame, columns: Sequence[str], relative_error: float = 0.0001) -> DataFrame:
     """First quartile, median and third quartile per numeric column, null and NaN left out.
@@ -44,12 +48,17 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
 
     Up to 30 distinct values are counted one by one (``value``, in order); beyond that a number is
     put into min(40, max(10, sqrt(n))) bins of equal width, the last one closed above.  Null and
-    NaN are left out; empty bins are not listed.
+    NaN are left out; empty bins are not listed.  Texts are always counted one by one.
     """
     known = df.filter(~missing(df, column)).select(column)
+    numeric = isinstance(df.schema[column].dataType, T.NumericType)
+    value = F.col(column).cast("double") if numeric else F.lit(None).cast("double")
+    ends = known.agg(
+        F.min(value).alias("low"), F.max(value).alias("high"), rows().alias("n"), F.approx_count_distinct(column).alias("levels")
+    ).first()
+    # Only when the sketch sees few levels, so that counting them is cheap, are they counted exactly.
     levels = known.groupBy(column).agg(rows().alias("count"))
-    few = levels.limit(MOST_LEVELS + 1).count()
-    if few <= MOST_LEVELS:
+    if not numeric or (ends["levels"] <= SURELY_MANY and levels.limit(MOST_LEVELS + 1).count() <= MOST_LEVELS):
         return levels.orderBy(column).select(
             F.lit(None).cast("int").alias("bin"),
             F.lit(None).cast("double").alias("low"),
@@ -57,8 +66,6 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
             F.col(column).cast("string").alias("value"),
             "count",
         )
-    value = F.col(column).cast("double")
-    ends = known.agg(F.min(value).alias("low"), F.max(value).alias("high"), rows().alias("n")).first()
     bins = min(MOST_BINS, max(FEWEST_BINS, int(ends["n"] ** 0.5)))
     low, width = ends["low"], (ends["high"] - ends["low"]) / bins
     number = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")

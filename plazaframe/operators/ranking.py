@@ -14,7 +14,7 @@ from plazaframe.operators.sequence import total_before
 from plazaframe.operators.skew import attach, slice_count
 
 # Distinct values that one task may rank by itself.
-ONE_TASK_ROWS = 10_000
+ONE_TASK_ROWS = 500_000
 
 
 def ordered(df: DataFrame, order: Sequence[Column | str], ties: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise
-from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, slice_count, split_hot
+from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, slice_count, split_rows
 
 _SLICE, _COPIES, _COPY, _AMOUNT, _BEFORE, _CARRY = "_slice", "_copies", "_copy", "_amount", "_before", "_carry"
 _CHUNK = 1_000_000
@@ -77,7 +77,7 @@ def _by_heat(
     hot = hot_keys(df, keys, hot_rows=hot_rows, slices=slices)
     if hot is None:
         return ordinary(df)
-    heavy, light = split_hot(df, keys, hot)
+    heavy, light = split_rows(df, keys, hot)
     return ordinary(light).unionByName(sliced(heavy, slice_count(df, slices)))
 
 

@@ -19,8 +19,8 @@ HOT_ROWS = 2_000_000
 
 
 def slice_count(df: DataFrame, slices: int | None = None) -> int:
-    """How many parts to cut data into; the session's shuffle width unless given."""
-    return slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """How many parts to cut data into: a few per shuffle task, so that tasks even out."""
+    return slices or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def hot_keys(
@@ -28,16 +28,16 @@ def hot_keys(
 ) -> DataFrame | None:
     """Keys holding more than ``hot_rows`` rows and more than one slice's share of the table.
 
-    None if there are none.  Fewer than ``slices`` keys can hold more than 1/slices of the rows,
-    so the answer always fits a broadcast.  Counts are combined before the shuffle.
+    None if there are none, which one pass over the key columns tells: rows are counted per key
+    before the shuffle.  Fewer than ``slices`` keys can hold more than 1/slices of the rows, so
+    the answer always fits a broadcast.
     """
-    total = df.count()
-    bar = max(hot_rows, total // slice_count(df, slices))
-    if total <= bar:
+    per_key = df.groupBy(*keys).agg(rows().alias("_n"))
+    seen = per_key.agg(F.sum("_n").alias("all"), F.max("_n").alias("largest")).first()
+    bar = max(hot_rows, (seen["all"] or 0) // slice_count(df, slices))
+    if (seen["largest"] or 0) <= bar:
         return None
-    heavy = df.groupBy(*keys).agg(rows().alias("_n")).filter(F.col("_n") > bar).select(*keys)
-    heavy = materialise(heavy)
-    return None if heavy.isEmpty() else heavy
+    return materialise(per_key.filter(F.col("_n") > bar).select(*keys))
 
 
 def _on(keys: Sequence[str], prefix: str) -> Column:
@@ -63,7 +63,7 @@ def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], *, bounded: boo
     return df.join(right, _on(keys, "_k_"), how).drop(*["_k_" + k for k in keys])
 
 
-def split_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of the hot keys, all other rows)."""
-    right = F.broadcast(_renamed(hot, keys, "_k_"))
+def split_rows(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key is listed, all other rows), for a list known to be short."""
+    right = F.broadcast(_renamed(listed, keys, "_k_"))
     return df.join(right, _on(keys, "_k_"), "left_semi"), df.join(right, _on(keys, "_k_"), "left_anti")

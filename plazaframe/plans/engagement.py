@@ -10,7 +10,8 @@ from plazaframe.functions.text import entry_count
 from plazaframe.operators.aggregate import group_stats
 from plazaframe.operators.durable import materialise
 from plazaframe.operators.ranking import first_rows, top_ranked
-from plazaframe.operators.sequence import HOT_ROWS, previous_value
+from plazaframe.operators.sequence import previous_value
+from plazaframe.operators.skew import HOT_ROWS, split_rows
 from plazaframe.plans.business import open_places
 
 
@@ -63,10 +64,16 @@ def good_places_with_tips(
 
 
 def tip_gaps(tip: DataFrame, n: int = 30, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Days between each tip and the same user's tip before; the first ``n`` by user and date."""
-    own = previous_value(
-        tip.select("user_id", "business_id", "date"), ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows
-    )
+    """Days between each tip and the same user's tip before; the first ``n`` by user and date.
+
+    Every user with two dated tips has at least one gap, so the first ``n`` such users are
+    enough, and only their tips are put in order.
+    """
+    dates = tip.select("user_id", "business_id", "date")
+    several = group_stats(dates, ["user_id"], counts={"dated": "date"}).filter(F.col("dated") > 1)
+    leading = first_rows(several, n, ["user_id"], ties=[], columns=["user_id"])
+    theirs, _ = split_rows(dates, ["user_id"], materialise(leading))
+    own = previous_value(theirs, ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows)
     later = own.filter(F.col("prev_tip_date").isNotNull())
     gaps = later.withColumn("days_since_prev_tip", days_between("prev_tip_date", "date"))
     ties = ["business_id", "prev_tip_date"]

@@ -219,6 +219,16 @@ def _(t: Tables) -> DataFrame:
     return ranking.percent_rank_over_all(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", "percentile_rank")
 
 
+@query(
+    "percent_rank_sliced",
+    """SELECT o_orderkey, o_custkey, percent_rank() OVER (ORDER BY o_custkey DESC) AS percentile_rank FROM orders""",
+)
+def _(t: Tables) -> DataFrame:
+    """The form for more distinct values than one task may rank."""
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    return ranking.percent_rank_over_all(orders, "o_custkey", "percentile_rank", slices=16, one_task_rows=0)
+
+
 @query(
     "percent_rank_ties",
     """SELECT l_orderkey, l_partkey, l_suppkey, l_quantity, percent_rank() OVER (ORDER BY l_quantity DESC) AS percentile_rank
@@ -914,7 +924,7 @@ def _(t: Tables) -> DataFrame:
     """Events through JSON lines and a declared schema."""
     folder = durable.new_folder(t.spark)
     t.events.select("event_id", "user_id", "event_type", "value", "props").write.json(folder)
-    declared = T.StructType.fromDDL("event_id bigint, user_id bigint, event_type string, value double, props string")
+    declared = "event_id bigint, user_id bigint, event_type string, value double, props string"
     return open_table(t.spark, Source(folder, "json", declared))
 
 

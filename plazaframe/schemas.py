@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 # Column names and types of the input tables, in file order.
-_DDL = {
+SCHEMAS = {
     "business": (
         "business_id string, name string, address string, city string, state string, postal_code string, "
         "latitude double, longitude double, stars double, review_count int, is_open int, "
@@ -54,5 +52,3 @@ COMPLIMENTS = [
     "compliment_writer",
     "compliment_photos",
 ]
-
-SCHEMAS = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}

@@ -10,7 +10,6 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql.types import StringType, StructType
 
 from plazaframe.functions.columns import present
 from plazaframe.functions.measures import rows
@@ -23,7 +22,7 @@ class Source:
 
     path: str
     format: str = "parquet"
-    schema: StructType | None = None
+    schema: str | None = None  # "name type, name type"
 
 
 def json_sources(paths: Mapping[str, str]) -> dict[str, Source]:
@@ -46,8 +45,8 @@ def open_table(spark: SparkSession, source: Source, *, bad_lines: str | None = N
     schema = source.schema
     if bad_lines:
         reader = reader.option("columnNameOfCorruptRecord", bad_lines)
-        schema = StructType([*schema.fields]).add(bad_lines, StringType()) if schema else None
-    if schema is not None:
+        schema = f"{schema}, `{bad_lines}` string" if schema else None
+    if schema:
         reader = reader.schema(schema)
     return reader.load(source.path)
 
