@@ -39,7 +39,7 @@ def token_count(column: str, placeholders: Iterable[str] = ("none", "unknown"))
     Blank entries do not count, nor do (in any case) the placeholder words.
     """
     words = [w.lower() for w in placeholders]
-    tokens = F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ","), F.trim)
+    tokens = F.transform(F.split(F.coalesce(F.col(column), F.lit("")), ","), lambda t: F.trim(t))
     kept = F.filter(tokens, lambda t: (t != "") & ~F.lower(t).isin(words) if words else t != "")
     return F.size(kept)
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,24 +35,26 @@ def _median(value: Column, relative_error: float) -> Column:
 
 
 def fill_values(
-    df: DataFrame, columns: Sequence[str], method: str = "median", relative_error: float = 0.01
-) -> dict[str, float]:
-    """What to put for a missing number, per column; one pass for all.
+    df: DataFrame,
+    columns: Sequence[str],
+    method: str = "median",
+    relative_error: float = 0.01,
+    *,
+    keys: Sequence[str] = (),
+) -> tuple[dict[str, float], int]:
+    """What to put for a missing number, per column, and how many rows the table has; one pass.
 
-    The median is within ``relative_error`` of the middle rank, found with a sketch of bounded
-    size.  A column without any value is filled with 0.
+    Only rows that have all ``keys`` are measured, though all are counted.  The median is within
+    ``relative_error`` of the middle rank, found with a sketch of bounded size.  A column without
+    any value is filled with 0.
     """
     if method not in ("median", "mean"):
         raise ValueError(f"unknown way to fill numbers: {method!r}")
-    known = {c: F.when(~missing(df, c), F.col(c)) for c in columns}
-    measures = [
-        (_median(v, relative_error) if method == "median" else F.avg(v)).cast("double").alias(c)
-        for c, v in known.items()
-    ]
-    if not measures:
-        return {}
-    found = df.agg(*measures).first()
-    return {c: 0.0 if value is None else value for c, value in zip(columns, found)}
+    keyed = [F.col(k).isNotNull() for k in present(df, keys)]
+    known = [F.when(reduce(and_, keyed, ~missing(df, c)), F.col(c)) for c in columns]
+    found = [(_median(v, relative_error) if method == "median" else F.avg(v)).cast("double") for v in known]
+    number, *values = df.agg(rows(), *(v.alias(f"v{i}") for i, v in enumerate(found))).first()
+    return {c: 0.0 if v is None else v for c, v in zip(columns, values)}, number
 
 
 def fill_missing(
@@ -78,10 +82,9 @@ def impute(
     leave: Iterable[str] = (),
 ) -> DataFrame:
     """Drop rows without a key, then fill every other column but those to ``leave``."""
-    keyed = without_null_keys(df, keys)
     skip = [*keys, *leave]
-    numbers = fill_values(keyed, numeric_columns(keyed, without=skip), method, relative_error)
-    return fill_missing(keyed, numbers, text, leave=skip)
+    numbers, _ = fill_values(df, numeric_columns(df, without=skip), method, relative_error, keys=keys)
+    return fill_missing(without_null_keys(df, keys), numbers, text, leave=skip)
 
 
 def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:

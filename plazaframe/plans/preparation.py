@@ -20,7 +20,7 @@ from plazaframe.operators.durable import materialise
 from plazaframe.operators.flattening import flatten
 from plazaframe.operators.reducing import principal_components, sample_rows
 from plazaframe.schemas import KEYS
-from plazaframe.sources.tables import Source, observed, open_tables
+from plazaframe.sources.tables import Source, open_tables
 
 STAGES = ["clean", "flatten", "prune", "screen", "transform", "reduce"]
 AUDIT = "table string, position int, stage string, rows long, columns int, added array<string>, dropped array<string>"
@@ -87,23 +87,24 @@ class Prepared:
 
     @property
     def dropped_constant(self) -> list[str]:
-        return [c for s in self.steps if s.stage == "screen" for c in s.before if c not in s.after]
+        return sorted(c for s in self.steps if s.stage == "screen" for c in s.before if c not in s.after)
 
 
-def clean(df: DataFrame, settings: Settings) -> DataFrame:
+def clean(df: DataFrame, settings: Settings) -> tuple[DataFrame, int | None]:
     """Rows without a key go, other nulls are filled (or their rows go too), then duplicates.
 
-    Fills are measured before duplicates go, so duplicates weigh in.
+    Fills are measured before duplicates go, so duplicates weigh in.  Also returned is the number
+    of rows there were, if the filling measured it.
     """
-    keyed = without_null_keys(df, settings.keys)
+    filled, loaded = without_null_keys(df, settings.keys), None
     if settings.nulls == "drop":
-        filled = complete_rows(keyed)
+        filled = complete_rows(filled)
     else:
         leave = [*settings.keys, *settings.fill_exclude]
-        columns = numeric_columns(keyed, without=leave)
-        numbers = fill_values(keyed, columns, settings.fill_numbers, settings.median_error)
-        filled = fill_missing(keyed, numbers, settings.fill_text, leave=leave)
-    return deduplicate(filled, settings.keys) if settings.remove_duplicates else filled
+        columns = numeric_columns(df, without=leave)
+        numbers, loaded = fill_values(df, columns, settings.fill_numbers, settings.median_error, keys=settings.keys)
+        filled = fill_missing(filled, numbers, settings.fill_text, leave=leave)
+    return (deduplicate(filled, settings.keys) if settings.remove_duplicates else filled), loaded
 
 
 def screen(df: DataFrame, settings: Settings) -> tuple[DataFrame, list[str]]:
@@ -145,8 +146,7 @@ def prepare(df: DataFrame, table: str, settings: Settings | None = None, *, writ
     it needs from there and serves the screen and the scaling together.
     """
     given = settings or settings_for(table, None)
-    raw, loaded = observed(df)
-    cleaned = clean(raw, given)
+    cleaned, loaded = clean(df, given)
     flat = flatten(cleaned, table, given.fill_text)
     pruned = flat.drop(*given.prune)
     if write_cleaned:
@@ -162,7 +162,7 @@ def prepare(df: DataFrame, table: str, settings: Settings | None = None, *, writ
     reduced = reduce_rows(transformed, given)
     whole = given.sample_fraction is None or given.sample_fraction >= 1.0
     names = [df.columns, cleaned.columns, flat.columns, pruned.columns, screened.columns, transformed.columns, reduced.columns]
-    counts = [loaded.get.get("rows", 0), found.rows, found.rows, found.rows, found.rows, found.rows, found.rows if whole else None]
+    counts = [loaded, found.rows, found.rows, found.rows, found.rows, found.rows, found.rows if whole else None]
     stages = ["load", *STAGES]
     steps = [Step(table, s, n, before, after) for s, n, before, after in zip(stages, counts, [names[0], *names], names)]
     return Prepared(reduced, steps)
@@ -185,7 +185,7 @@ def run_stage(
 ) -> dict[str, DataFrame]:
     """One stage for all tables, for callers who want to look at the tables in between."""
     work = {
-        "clean": lambda df, t, s: clean(df, s),
+        "clean": lambda df, t, s: clean(df, s)[0],
         "flatten": lambda df, t, s: flatten(df, t, s.fill_text),
         "prune": lambda df, t, s: df.drop(*s.prune),
         "screen": lambda df, t, s: screen(df, s)[0],

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import DataFrame
 
 from plazaframe.functions.columns import present
-from plazaframe.sources.tables import observed
+from plazaframe.sources.tables import counted, observed
 
 
 def write_csv(df: DataFrame, path: str, *, single_file: bool = False) -> str:
@@ -35,12 +35,12 @@ def write_tables(
     """
     written = {}
     for name, df in frames.items():
-        counted, seen = observed(df)
-        spread = counted.repartition(num_partitions) if num_partitions else counted.hint("rebalance")
+        watched, seen = observed(df)
+        spread = watched.repartition(num_partitions) if num_partitions else watched.hint("rebalance")
         writer = spread.write.mode("overwrite")
         keys = present(df, partition_by)
         (writer.partitionBy(*keys) if keys else writer).parquet(f"{folder}/{name}")
-        written[name] = seen.get["rows"]
+        written[name] = counted(seen)
     return written
 
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable, Iterator, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -65,11 +66,21 @@ def open_tables(spark: SparkSession, sources: Mapping[str, Source]) -> dict[str,
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The frame, and its row count (``["rows"]``) as a by-product of the first action on it."""
+    """The frame, and a watch that counts its rows during the first action on it."""
     seen = Observation()
     return df.observe(seen, rows().alias("rows")), seen
 
 
+def counted(seen: Observation) -> int:
+    """What the watch counted.  Spark does not even run a frame it knows to be empty."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError as nothing:
+        if "AssertionError" not in str(nothing):
+            raise
+        return 0
+
+
 @contextmanager
 def held(frames: Mapping[str, DataFrame], columns: Mapping[str, Iterable[str]] | None = None) -> Iterator[dict[str, DataFrame]]:
     """Keep frames for the length of a ``with`` block, reduced to the columns it will use."""
