@@ -9,6 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def of_type(df: DataFrame, *kinds: type, without: Iterable[str] = ()) -> list[str]:
     """Names of the columns whose type is one of ``kinds``, in schema order."""
     skip = set(without)
@@ -31,15 +41,21 @@ def present(df: DataFrame, names: Iterable[str]) -> list[str]:
     return [n for n in names if n in have]
 
 
+def comparable_sql(df: DataFrame, name: str) -> str:
+    """``name`` as something Spark can order, as SQL text: a map becomes its sorted entries."""
+    is_map = isinstance(df.schema[name].dataType, T.MapType)
+    return f"array_sort(map_entries({quoted(name)}))" if is_map else quoted(name)
+
+
 def comparable(df: DataFrame, name: str) -> Column:
-    """``name`` as something Spark can order: a map becomes its sorted entries."""
-    if isinstance(df.schema[name].dataType, T.MapType):
-        return F.array_sort(F.map_entries(name))
-    return F.col(name)
+    return F.expr(comparable_sql(df, name))
+
+
+def missing_sql(df: DataFrame, name: str) -> str:
+    """True for null, and for NaN in a floating-point column, as SQL text."""
+    fractional = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return f"({quoted(name)} IS NULL OR isnan({quoted(name)}))" if fractional else f"({quoted(name)} IS NULL)"
 
 
 def missing(df: DataFrame, name: str) -> Column:
-    """True for null, and for NaN in a floating-point column."""
-    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
-        return F.col(name).isNull() | F.isnan(name)
-    return F.col(name).isNull()
+    return F.expr(missing_sql(df, name))

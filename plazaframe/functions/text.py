@@ -7,6 +7,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from plazaframe.functions.columns import literal, quoted
+
 
 def filled(column: str) -> Column:
     """Neither null nor the empty string."""
@@ -56,4 +58,4 @@ def map_size(column: str) -> Column:
 
 def map_values(column: str, names: Mapping[str, str]) -> dict[str, Column]:
     """New column name -> text value of a map key; null where the key is absent."""
-    return {new: F.col(column).getItem(key).cast("string") for key, new in names.items()}
+    return {new: F.expr(f"CAST({quoted(column)}[{literal(key)}] AS STRING)") for key, new in names.items()}

@@ -3,13 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazaframe.functions.columns import comparable, missing, numeric_columns, present, string_columns
+from plazaframe.functions.columns import comparable, missing_sql, numeric_columns, present, quoted, string_columns
 from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise
 from plazaframe.operators.ranking import one_per_key
@@ -30,8 +28,9 @@ def complete_rows(df: DataFrame) -> DataFrame:
     return df.dropna(how="any")
 
 
-def _median(value: Column, relative_error: float) -> Column:
-    return F.percentile_approx(value, F.lit(0.5), F.lit(max(1, round(1 / relative_error))))
+def accuracy(relative_error: float) -> int:
+    """The accuracy of ``percentile_approx`` that keeps ranks within an error."""
+    return max(1, round(1 / relative_error))
 
 
 def fill_values(
@@ -50,10 +49,13 @@ def fill_values(
     """
     if method not in ("median", "mean"):
         raise ValueError(f"unknown way to fill numbers: {method!r}")
-    keyed = [F.col(k).isNotNull() for k in present(df, keys)]
-    known = [F.when(reduce(and_, keyed, ~missing(df, c)), F.col(c)) for c in columns]
-    found = [(_median(v, relative_error) if method == "median" else F.avg(v)).cast("double") for v in known]
-    number, *values = df.agg(rows(), *(v.alias(f"v{i}") for i, v in enumerate(found))).first()
+    keyed = [f"{quoted(k)} IS NOT NULL" for k in present(df, keys)]
+    sought = ["count(1) AS n"]
+    for i, c in enumerate(columns):
+        known = f"CASE WHEN {' AND '.join([*keyed, 'NOT ' + missing_sql(df, c)])} THEN {quoted(c)} END"
+        measure = f"percentile_approx({known}, 0.5, {accuracy(relative_error)})" if method == "median" else f"avg({known})"
+        sought.append(f"CAST({measure} AS DOUBLE) AS v{i}")
+    number, *values = df.selectExpr(*sought).first()
     return {c: 0.0 if v is None else v for c, v in zip(columns, values)}, number
 
 

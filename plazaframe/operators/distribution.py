@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plazaframe.functions.columns import missing
+from plazaframe.functions.columns import literal, missing, missing_sql, quoted
 from plazaframe.functions.measures import rows
+from plazaframe.operators.cleaning import accuracy
 
 # Most distinct values shown one by one, and the range of the number of bins.
 MOST_LEVELS = 30
@@ -24,17 +25,13 @@ def quartiles(df: DataFrame, columns: Sequence[str], relative_error: float = 0.0
 
     One pass; the ranks are right to within ``relative_error`` of the row count.
     """
-    accuracy = F.lit(max(1, round(1 / relative_error)))
-    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    found = [
-        F.percentile_approx(F.when(~missing(df, c), F.col(c).cast("double")), shares, accuracy).alias(f"q{i}")
-        for i, c in enumerate(columns)
-    ]
-    boxes = [
-        F.struct(F.lit(c).alias("column"), *(F.col(f"q{i}")[j].alias(n) for j, n in enumerate(("q1", "median", "q3"))))
-        for i, c in enumerate(columns)
-    ]
-    return df.agg(*found).select(F.inline(F.array(*boxes)))
+    cells = []
+    for c in columns:
+        known = f"CASE WHEN NOT {missing_sql(df, c)} THEN CAST({quoted(c)} AS DOUBLE) END"
+        cells.append(f"percentile_approx({known}, array(0.25, 0.5, 0.75), {accuracy(relative_error)}) AS q{len(cells)}")
+    found = df.selectExpr(*cells)
+    boxes = [f"struct({literal(c)} AS column, q{i}[0] AS q1, q{i}[1] AS median, q{i}[2] AS q3)" for i, c in enumerate(columns)]
+    return found.selectExpr(f"inline(array({', '.join(boxes)}))")
 
 
 def degenerate(df: DataFrame, column: str) -> bool:

@@ -6,10 +6,10 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaframe.functions.columns import numeric_columns, present, string_columns
+from plazaframe.functions.columns import literal, numeric_columns, present, quoted, string_columns
 from plazaframe.functions.measures import rows
 from plazaframe.operators.reducing import sample_rows
 
@@ -19,10 +19,10 @@ def stacked(reports: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def _spread_out(summary: DataFrame, cells: Sequence[Sequence[Column]], names: Sequence[str]) -> DataFrame:
-    """A one-row summary as one row per cell; a cell is a list of values for ``names``."""
-    boxes = [F.struct(*(v.alias(n) for v, n in zip(cell, names))) for cell in cells]
-    return summary.select(F.inline(F.array(*boxes)))
+def _spread_out(summary: DataFrame, cells: Sequence[Sequence[str]], names: Sequence[str]) -> DataFrame:
+    """A one-row summary as one row per cell; a cell is a list of SQL values for ``names``."""
+    boxes = (", ".join(f"{value} AS {quoted(name)}" for value, name in zip(cell, names)) for cell in cells)
+    return summary.selectExpr(f"inline(array({', '.join(f'struct({box})' for box in boxes)}))")
 
 
 def overview(frames: Mapping[str, DataFrame]) -> DataFrame:
@@ -49,12 +49,9 @@ def null_report(
     without rows has an empty report.
     """
     names = (present(df, keys) if keys_only else []) or df.columns
-    counts = [F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]
-    summary = sample_rows(df, sample_fraction).agg(rows().alias("n"), *counts).filter("n > 0")
-    cells = [
-        [F.lit(c), F.col("n"), F.col(f"n{i}"), F.round(F.col(f"n{i}") / F.col("n"), 6), F.lit(table)]
-        for i, c in enumerate(names)
-    ]
+    counts = [f"count_if({quoted(c)} IS NULL) AS n{i}" for i, c in enumerate(names)]
+    summary = sample_rows(df, sample_fraction).selectExpr("count(1) AS n", *counts).filter("n > 0")
+    cells = [[literal(c), "n", f"n{i}", f"round(n{i} / n, 6)", literal(table)] for i, c in enumerate(names)]
     columns = ["column", "n_rows", "null_count", "null_fraction", "table"]
     return _spread_out(summary, cells, columns).orderBy(F.desc("null_fraction"), "column")
 
@@ -94,16 +91,22 @@ def describe_numbers(
     return sample_rows(df, sample_fraction).select(*columns).summary() if columns else None
 
 
+# Metric -> aggregate function.
+_NUMBERS = {"min": "min", "max": "max", "mean": "avg", "stddev": "stddev"}
+
+
+def _number_measures(names: Iterable[str], places: Mapping[str, int]) -> list[str]:
+    return [f"{f}({quoted(c)}) AS {metric}{places[c]}" for c in names for metric, f in _NUMBERS.items()]
+
+
 def numeric_stats(df: DataFrame) -> DataFrame:
     """min, max, mean and sample deviation (4 decimals) of every numeric column, in one pass."""
-    columns = numeric_columns(df)
-    kinds = {"min": F.min, "max": F.max, "mean": F.avg, "stddev": F.stddev}
-    measured = [f(c).cast("double").alias(f"{k}{i}") for i, c in enumerate(columns) for k, f in kinds.items()]
-    cells = [
-        [F.lit(c), F.col(f"min{i}"), F.col(f"max{i}"), F.round(f"mean{i}", 4), F.round(f"stddev{i}", 4)]
-        for i, c in enumerate(columns)
-    ]
-    return _spread_out(df.agg(*measured), cells, ["column", *kinds])
+    places = {c: i for i, c in enumerate(numeric_columns(df))}
+    summary = df.selectExpr(*_number_measures(places, places))
+    ends = [[f"CAST({m}{i} AS DOUBLE)" for m in ("min", "max")] for i in places.values()]
+    moments = [[f"round(CAST({m}{i} AS DOUBLE), 4)" for m in ("mean", "stddev")] for i in places.values()]
+    cells = [[literal(c), *low_high, *rounded] for c, low_high, rounded in zip(places, ends, moments)]
+    return _spread_out(summary, cells, ["column", *_NUMBERS])
 
 
 def string_distinct(df: DataFrame, *, exact: bool = True) -> DataFrame:
@@ -117,10 +120,10 @@ def string_distinct(df: DataFrame, *, exact: bool = True) -> DataFrame:
         pairs = df.unpivot([], columns, "column", "value").distinct()
         return pairs.groupBy("column").agg(rows().alias("distinct_count"))
     sketches = [
-        (F.approx_count_distinct(c) + F.max(F.col(c).isNull().cast("int"))).alias(f"n{i}") for i, c in enumerate(columns)
+        f"approx_count_distinct({quoted(c)}) + max(CAST({quoted(c)} IS NULL AS INT)) AS n{i}" for i, c in enumerate(columns)
     ]
-    cells = [[F.lit(c), F.coalesce(F.col(f"n{i}"), F.lit(0))] for i, c in enumerate(columns)]
-    return _spread_out(df.agg(*sketches), cells, ["column", "distinct_count"])
+    cells = [[literal(c), f"coalesce(n{i}, 0)"] for i, c in enumerate(columns)]
+    return _spread_out(df.selectExpr(*sketches), cells, ["column", "distinct_count"])
 
 
 def validation_report(df: DataFrame, name: str, *, exact: bool = True) -> DataFrame:
@@ -130,35 +133,26 @@ def validation_report(df: DataFrame, name: str, *, exact: bool = True) -> DataFr
     decimals); ``min``, ``max``, ``mean``, ``stddev`` of numbers; ``distinct_count`` of texts.
     A frame without columns yields one ``error`` row.
     """
-    spark = df.sparkSession
-    nothing = F.lit(None).cast("string")
+    columns = ["table", "column", "metric", "value"]
     if not df.columns:
-        return spark.range(1).select(
-            F.lit(name).alias("table"), nothing.alias("column"), F.lit("error").alias("metric"), F.lit("no columns").alias("value")
-        )
-    names = df.columns
+        return _spread_out(df.sparkSession.range(1), [[literal(name), "CAST(NULL AS STRING)", "'error'", "'no columns'"]], columns)
+    places = {c: i for i, c in enumerate(df.columns)}
     numbers = numeric_columns(df)
-    kinds = {"min": F.min, "max": F.max, "mean": F.avg, "stddev": F.stddev}
-    measured = [F.count_if(F.col(c).isNull()).alias(f"null{i}") for i, c in enumerate(names)]
-    measured += [f(c).alias(f"{k}{names.index(c)}") for c in numbers for k, f in kinds.items()]
-    table_wide = [(nothing, "rows", F.col("n")), (nothing, "columns", F.lit(len(names)))]
-    per_column = []
-    for i, c in enumerate(names):
-        share = F.coalesce(F.round(F.try_divide(F.col(f"null{i}") * 100.0, F.col("n")), 2), F.lit(0.0))
-        per_column += [
-            (F.lit(c), "type", F.lit(df.schema[c].dataType.simpleString())),
-            (F.lit(c), "null_count", F.col(f"null{i}")),
-            (F.lit(c), "null_percentage", share),
-        ]
-        if c in numbers:
-            ends = [(F.lit(c), k, F.col(f"{k}{i}")) for k in ("min", "max")]
-            per_column += ends + [(F.lit(c), k, F.round(F.col(f"{k}{i}").cast("double"), 4)) for k in ("mean", "stddev")]
-    cells = [[F.lit(name), c, F.lit(m), v.cast("string")] for c, m, v in table_wide + per_column]
-    report = _spread_out(df.agg(rows().alias("n"), *measured), cells, ["table", "column", "metric", "value"])
+    nulls = [f"count_if({quoted(c)} IS NULL) AS null{i}" for c, i in places.items()]
+    summary = df.selectExpr("count(1) AS n", *nulls, *_number_measures(numbers, places))
+    found = [("CAST(NULL AS STRING)", "rows", "n"), ("CAST(NULL AS STRING)", "columns", str(len(places)))]
+    for c, i in places.items():
+        found.append((literal(c), "type", literal(df.schema[c].dataType.simpleString())))
+        found.append((literal(c), "null_count", f"null{i}"))
+        found.append((literal(c), "null_percentage", f"coalesce(round(try_divide(null{i} * 100.0D, n), 2), 0.0D)"))
+    for c in numbers:
+        found += [(literal(c), m, f"{m}{places[c]}") for m in ("min", "max")]
+        found += [(literal(c), m, f"round(CAST({m}{places[c]} AS DOUBLE), 4)") for m in ("mean", "stddev")]
+    report = _spread_out(summary, [[literal(name), c, literal(m), f"CAST({v} AS STRING)"] for c, m, v in found], columns)
     if not string_columns(df):
         return report
-    texts = string_distinct(df, exact=exact).select(
-        F.lit(name).alias("table"), "column", F.lit("distinct_count").alias("metric"), F.col("distinct_count").cast("string").alias("value")
+    texts = string_distinct(df, exact=exact).selectExpr(
+        f"{literal(name)} AS table", "column", "'distinct_count' AS metric", "CAST(distinct_count AS STRING) AS value"
     )
     return report.unionByName(texts)
 

@@ -9,8 +9,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plazaframe.functions.columns import comparable, numeric_columns
-from plazaframe.functions.measures import rows
+from plazaframe.functions.columns import comparable_sql, numeric_columns, quoted
 from plazaframe.schemas import IDENTIFIERS
 
 # Numbers that are codes or calendar parts, never scaled.
@@ -40,10 +39,11 @@ def measure(
     that needs no distinct count, so nothing is shuffled but one row per task.
     """
     screened, ranged, spread = list(screened), list(ranged), list(spread)
-    flags = [F.min(comparable(df, c)).eqNullSafe(F.max(comparable(df, c))).alias(f"same_{c}") for c in screened]
-    ends = [f(c).alias(f"{p}_{c}") for c in ranged for p, f in (("low", F.min), ("high", F.max))]
-    moments = [f(c).cast("double").alias(f"{p}_{c}") for c in spread for p, f in (("mean", F.avg), ("sd", F.stddev))]
-    row = df.agg(rows().alias("_rows"), *flags, *ends, *moments).first()
+    sought = {"_rows": "count(1)"}
+    sought |= {f"same_{c}": "min({0}) <=> max({0})".format(comparable_sql(df, c)) for c in screened}
+    sought |= {f"{end}_{c}": f"{take}({quoted(c)})" for c in ranged for end, take in (("low", "min"), ("high", "max"))}
+    sought |= {f"{m}_{c}": f"CAST({take}({quoted(c)}) AS DOUBLE)" for c in spread for m, take in (("mean", "avg"), ("sd", "stddev"))}
+    row = df.selectExpr(*(f"{sql} AS {quoted(name)}" for name, sql in sought.items())).first()
     return Measures(
         rows=row["_rows"],
         constant=sorted(c for c in screened if row[f"same_{c}"]),
