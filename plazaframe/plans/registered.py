@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from plazaframe.plans.sample_tables import (
     supplier_places,
 )
 from plazaframe.sinks.files import bounded_sample, write_csv, write_tables
-from plazaframe.sources.tables import Source, open_table, open_tables, parquet_sources
+from plazaframe.sources.tables import Source, counted, observed, open_table, open_tables, parquet_sources
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -754,16 +755,53 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "token_count_flag",
-    """SELECT doc_id, n AS friend_count, n AS elite_count, CASE WHEN n > 0 THEN 1 ELSE 0 END AS is_elite FROM (
-         SELECT doc_id, CAST(len(list_filter(string_split(text, ','),
-                  lambda x: trim(x) <> '' AND lower(trim(x)) NOT IN ('none', 'unknown'))) AS INTEGER) AS n
+    """SELECT doc_id, friend_count, elite_count, CASE WHEN elite_count > 0 THEN 1 ELSE 0 END AS is_elite FROM (
+         SELECT doc_id, CAST(len(list_filter(string_split(replace(text, '.', ','), ','),
+                  lambda x: trim(x) <> '' AND lower(trim(x)) NOT IN ('none', 'unknown'))) AS INTEGER) AS friend_count,
+                CASE WHEN lang IN ('en', 'unknown') THEN 0 ELSE 2 END AS elite_count
          FROM documents)""",
 )
 def _(t: Tables) -> DataFrame:
-    listed = t.documents.select("doc_id", F.col("text").alias("friends"), F.col("text").alias("elite"))
+    """Sentences as friends, so that blank entries occur; no year, a placeholder or two as elite years."""
+    listed = t.documents.select(
+        "doc_id",
+        F.replace(F.col("text"), F.lit("."), F.lit(",")).alias("friends"),
+        F.when(F.col("lang") == "en", " ,, Unknown").otherwise(F.concat("lang", F.lit(", , x"))).alias("elite"),
+    )
     return flattening.flatten_users(listed).drop("friends", "elite")
 
 
+@query(
+    "list_lengths",
+    """SELECT doc_id, CAST(CASE WHEN trim(text) <> '' THEN length(text) - length(replace(text, ',', '')) + 1 ELSE 0 END AS INTEGER)
+              AS checkin_count FROM documents""",
+)
+def _(t: Tables) -> DataFrame:
+    return flattening.flatten_checkins(roles(t.documents, doc_id="doc_id", date="text")).drop("date")
+
+
+@query(
+    "flatten_places",
+    """SELECT p_partkey AS business_id, p_type AS "attr_WiFi", CASE WHEN p_size > 10 THEN p_brand END AS "attr_HasTV",
+              CAST(NULL AS VARCHAR) AS "attr_Music", CASE WHEN p_size > 5 THEN 2 ELSE 0 END AS open_days_count,
+              CASE WHEN p_size > 5 THEN p_brand END AS hours_mon, CASE WHEN p_size > 5 THEN p_type END AS hours_sun,
+              CAST(len(string_split(p_name, ' ')) AS INTEGER) AS category_count
+       FROM part""",
+)
+def _(t: Tables) -> DataFrame:
+    """Attributes and hours built from the columns of a part, its name's words as categories."""
+    with_tv = F.create_map(F.lit("WiFi"), "p_type", F.lit("HasTV"), "p_brand")
+    places = roles(
+        t.part,
+        business_id="p_partkey",
+        attributes=F.when(F.col("p_size") > 10, with_tv).otherwise(F.create_map(F.lit("WiFi"), "p_type")),
+        hours=F.when(F.col("p_size") > 5, F.create_map(F.lit("Monday"), "p_brand", F.lit("Sunday"), "p_type")),
+        categories=F.replace(F.col("p_name"), F.lit(" "), F.lit(", ")),
+    )
+    wanted = ["attr_WiFi", "attr_HasTV", "attr_Music", "open_days_count", "hours_mon", "hours_sun", "category_count"]
+    return flattening.flatten_places(places).select("business_id", *wanted)
+
+
 @query(
     "screen_constants",
     """SELECT c AS "column" FROM (
@@ -877,6 +915,29 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "prepare_reviews",
+    """WITH kept AS (
+         SELECT *, CAST(l_shipdate AS DATE) AS d FROM lineitem
+         QUALIFY row_number() OVER (PARTITION BY l_orderkey
+           ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, CAST(l_shipdate AS DATE)) = 1),
+       m AS (SELECT avg(l_quantity) AS qm, stddev_samp(l_quantity) AS qs, avg(l_extendedprice) AS pm,
+                    stddev_samp(l_extendedprice) AS ps FROM kept)
+       SELECT l_orderkey AS review_id, l_partkey AS user_id, l_suppkey AS business_id, round((l_quantity - qm) / qs, 6) AS stars,
+              round((l_extendedprice - pm) / ps, 6) AS useful, CAST(d AS VARCHAR) AS date_parsed, year(d)::INTEGER AS date_year,
+              month(d)::INTEGER AS date_month, (dayofweek(d) + 1)::INTEGER AS date_day_of_week
+       FROM kept, m""",
+)
+def _(t: Tables) -> DataFrame:
+    """Order lines as reviews with many duplicate ids, standardised, through the stages one by one."""
+    frames = {"review": line_reviews(t).withColumn("stars", F.col("stars").cast("double"))}
+    settings = {"review": replace(preparation.default_settings()["review"], scaling="standard", prune=["funny", "cool"])}
+    for stage in preparation.STAGES:
+        frames = preparation.run_stage(stage, frames, settings)
+    done = frames["review"].withColumn("date_parsed", F.col("date_parsed").cast("string"))
+    return done.withColumns({c: F.round(c, 6) for c in ("stars", "useful")})
+
+
 @query(
     "stage_audit",
     """SELECT 'orders' AS "table", stage, position, CASE WHEN position = 0 THEN 2 * n ELSE n END AS rows, columns, added, dropped
@@ -919,6 +980,20 @@ def _(t: Tables) -> DataFrame:
 # ---- sources and sinks --------------------------------------------------------------------
 
 
+@query(
+    "load_counts",
+    """SELECT 'customer' AS "table", count(*) AS rows FROM customer UNION ALL SELECT 'orders', count(*) FROM orders
+       UNION ALL SELECT 'pages', count(*) FROM pages""",
+)
+def _(t: Tables) -> DataFrame:
+    """Tables that are there are opened (one is not), and counted while something else reads them."""
+    frames = open_tables(t.spark, parquet_sources(t.folder, ["customer", "orders", "pages", "absent"], ".parquet"))
+    watched = {name: observed(df) for name, df in frames.items()}
+    for df, _ in watched.values():
+        df.write.format("noop").mode("overwrite").save()
+    return t.spark.createDataFrame([(n, counted(seen)) for n, (_, seen) in watched.items()], "table string, rows bigint")
+
+
 @query("json_scan", "SELECT event_id, user_id, event_type, value, props FROM events")
 def _(t: Tables) -> DataFrame:
     """Events through JSON lines and a declared schema."""
