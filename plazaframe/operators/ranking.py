@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise
-from plazaframe.operators.sequence import total_before
+from plazaframe.operators.sequence import cut_in_order, total_before
 from plazaframe.operators.skew import attach, slice_count
 
 # Distinct values that one task may rank by itself.
@@ -80,7 +80,7 @@ def percent_rank_over_all(
         earlier = Window.orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
         summed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     else:
-        summed = total_before(counts, [], falling, "_n", slice_count(df, slices))
+        summed = total_before(cut_in_order(counts, [], falling, slice_count(df, slices)), [], falling, "_n")
     others = max(known["rows"] - 1, 1)
     return attach(df, summed.select(value, (F.col("_before") / F.lit(others)).alias(out)), [value])
 

@@ -17,7 +17,11 @@ from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise
 from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, slice_count, split_rows
 
-_SLICE, _COPIES, _COPY, _AMOUNT, _BEFORE, _CARRY = "_slice", "_copies", "_copy", "_amount", "_before", "_carry"
+# Helper columns.
+_SLICE, _COPIES, _COPY, _AMOUNT, _TOTAL = "_slice", "_copies", "_copy", "_amount", "_total"
+_BEFORE, _CARRY = "_before", "_carry"
+
+# Identical rows that one task may write out again.
 _CHUNK = 1_000_000
 
 
@@ -27,26 +31,26 @@ def full_order(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> list
     return [F.col(c).asc() for c in order] + [comparable(df, c).asc() for c in rest]
 
 
-def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slices: int) -> DataFrame:
-    """Rows tagged with their slice; written down, so that every later pass sees the same tags."""
+def cut_in_order(df: DataFrame, keys: Sequence[str], order: Sequence[Column], slices: int) -> DataFrame:
+    """Rows tagged with the slice they fall into when sorted by key and order.
+
+    No two rows may tie, or no cut could fall between them.  The tagged rows are written down, so
+    that every later pass sees the same tags.
+    """
     ranged = df.repartitionByRange(slices, *[F.col(k) for k in keys], *order)
     return materialise(ranged.withColumn(_SLICE, F.spark_partition_id()))
 
 
-def total_before(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], amount: str, slices: int
-) -> DataFrame:
+def total_before(cut: DataFrame, keys: Sequence[str], order: Sequence[Column], amount: str) -> DataFrame:
     """Add ``_before``: the sum of ``amount`` over the rows of the same key that come earlier.
 
-    ``keys`` may be empty (one running total over the table).  No two rows of a key may tie on
-    ``order``, or a slice could not be cut between them.
+    ``keys`` may be empty, for one running total over the table.
     """
-    cut = _cut(df, keys, order, slices)
     earlier = Window.unboundedPreceding, -1
-    by_slice = cut.groupBy(_SLICE, *keys).agg(F.sum(amount).alias(_AMOUNT))
+    by_slice = cut.groupBy(_SLICE, *keys).agg(F.sum(amount).alias(_TOTAL))
     # One row per slice, and one more for each key that starts inside a slice.
     in_turn = (Window.partitionBy(*keys) if keys else Window).orderBy(_SLICE).rowsBetween(*earlier)
-    carry = by_slice.select(_SLICE, *keys, F.coalesce(F.sum(_AMOUNT).over(in_turn), F.lit(0)).alias(_CARRY))
+    carry = by_slice.select(_SLICE, *keys, F.coalesce(F.sum(_TOTAL).over(in_turn), F.lit(0)).alias(_CARRY))
     within = Window.partitionBy(_SLICE, *keys).orderBy(*order).rowsBetween(*earlier)
     local = cut.withColumn(_BEFORE, F.coalesce(F.sum(amount).over(within), F.lit(0)))
     joined = attach(local, carry, [_SLICE, *keys], bounded=True)
@@ -58,12 +62,22 @@ def _pack(df: DataFrame) -> DataFrame:
     return df.groupBy(*df.columns).agg(rows().alias(_COPIES))
 
 
-def _unpack(df: DataFrame, slices: int) -> DataFrame:
-    """The identical rows again, numbered from 1; a large set is spread over many tasks."""
+def _unpack(df: DataFrame, most: int, slices: int) -> DataFrame:
+    """The identical rows again, numbered from 1; a large set is spread over many tasks.
+
+    ``most`` is the size of the largest set.
+    """
+    if most == 1:
+        return df.withColumn(_COPY, F.lit(1)).drop(_COPIES)
     chunks = df.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(_COPIES) - 1) / _CHUNK))))
+    spread = chunks.repartition(slices) if most > _CHUNK else chunks
     first = F.col("_chunk") * _CHUNK + 1
     last = F.least(first + (_CHUNK - 1), F.col(_COPIES))
-    return chunks.repartition(slices).withColumn(_COPY, F.explode(F.sequence(first, last))).drop("_chunk", _COPIES)
+    return spread.withColumn(_COPY, F.explode(F.sequence(first, last))).drop("_chunk", _COPIES)
+
+
+def _largest(cut: DataFrame) -> int:
+    return cut.agg(F.max(_COPIES)).first()[0]
 
 
 def _by_heat(
@@ -100,9 +114,11 @@ def running_count(
 
     def sliced(part: DataFrame, n: int) -> DataFrame:
         packed = _pack(part).withColumn(_AMOUNT, F.when(F.col(counted).isNull(), 0).otherwise(F.col(_COPIES)))
-        told = total_before(packed, keys, full_order(df, keys, order), _AMOUNT, n)
+        placed = full_order(df, keys, order)
+        cut = cut_in_order(packed, keys, placed, n)
+        told = _unpack(total_before(cut, keys, placed, _AMOUNT), _largest(cut), n)
         own = F.when(F.col(counted).isNull(), 0).otherwise(F.col(_COPY))
-        return _unpack(told, n).select(*df.columns, (F.col(_BEFORE) + own).alias(out))
+        return told.select(*df.columns, (F.col(_BEFORE) + own).alias(out))
 
     return _by_heat(df, keys, hot_rows, slices, ordinary, sliced)
 
@@ -125,7 +141,7 @@ def previous_value(
 
     def sliced(part: DataFrame, n: int) -> DataFrame:
         placed = full_order(df, keys, order)
-        cut = _cut(_pack(part), keys, placed, n)
+        cut = cut_in_order(_pack(part), keys, placed, n)
         # Boxed, so that a null value differs from no row at all.
         boxed = F.struct(F.col(value).alias("v"))
         place = F.struct(*order, *[comparable(df, c) for c in df.columns if c not in keys and c not in order])
@@ -137,6 +153,6 @@ def previous_value(
         joined = attach(local, carry, [_SLICE, *keys], bounded=True)
         first_copy = F.coalesce(_BEFORE, _CARRY)["v"]
         told = F.when(F.col(_COPY) == 1, first_copy).otherwise(F.col(value))
-        return _unpack(joined, n).select(*df.columns, told.alias(out))
+        return _unpack(joined, _largest(cut), n).select(*df.columns, told.alias(out))
 
     return _by_heat(df, keys, hot_rows, slices, ordinary, sliced)

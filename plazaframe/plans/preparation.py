@@ -181,9 +181,17 @@ def prepare_all(
 
 
 def run_stage(
-    stage: str, frames: Mapping[str, DataFrame], settings: Mapping[str, Settings] | None = None
+    stage: str,
+    frames: Mapping[str, DataFrame],
+    settings: Mapping[str, Settings] | None = None,
+    *,
+    write: bool = False,
 ) -> dict[str, DataFrame]:
-    """One stage for all tables, for callers who want to look at the tables in between."""
+    """One stage for all tables, for callers who want to look at the tables in between.
+
+    With ``write`` each table is written down after the stage, so that later stages and their
+    measuring passes do not compute it again.
+    """
     work = {
         "clean": lambda df, t, s: clean(df, s)[0],
         "flatten": lambda df, t, s: flatten(df, t, s.fill_text),
@@ -192,7 +200,8 @@ def run_stage(
         "transform": lambda df, t, s: transform(df, s),
         "reduce": lambda df, t, s: reduce_rows(df, s),
     }[stage]
-    return {t: work(df, t, settings_for(t, settings)) for t, df in frames.items()}
+    done = {t: work(df, t, settings_for(t, settings)) for t, df in frames.items()}
+    return {t: materialise(df) for t, df in done.items()} if write else done
 
 
 def audit_table(spark: SparkSession, prepared: Mapping[str, Prepared]) -> DataFrame:
