@@ -134,3 +134,30 @@ def event_tips(t: Tables) -> DataFrame:
         compliment_count=money("value"),
         date=second_text("ts"),
     )
+
+
+def gappy_lines(t: Tables) -> DataFrame:
+    """Order lines with some values taken out; the SQL beside takes out the same ones."""
+    return t.lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.nullif("l_quantity", F.lit(7.0)).alias("l_quantity"),
+        F.nullif("l_returnflag", F.lit("R")).alias("l_returnflag"),
+        F.nullif("l_suppkey", F.lit(3)).alias("l_suppkey"),
+    )
+
+
+GAPPY_LINES = """(SELECT l_orderkey, l_linenumber, nullif(l_quantity, 7) AS l_quantity,
+                    nullif(l_returnflag, 'R') AS l_returnflag, nullif(l_suppkey, 3) AS l_suppkey FROM lineitem)"""
+
+
+def gappy_parts(t: Tables) -> DataFrame:
+    return t.part.select(
+        "p_partkey",
+        F.nullif("p_size", F.lit(3)).alias("p_size"),
+        F.nullif("p_type", F.lit("PROMO")).alias("p_type"),
+        "p_retailprice",
+    )
+
+
+GAPPY_PARTS = """(SELECT p_partkey, nullif(p_size, 3) AS p_size, nullif(p_type, 'PROMO') AS p_type, p_retailprice FROM part)"""
