@@ -103,11 +103,12 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | No
         return df
     rest = [comparable(df, c).asc() for c in df.columns if c not in keys]
     first = [*(order or []), *(rest or [F.col(keys[0]).asc()])]
-    repeated = materialise(df.groupBy(*keys).agg(rows().alias("_n")).filter(F.col("_n") > 1).select(*keys))
-    number = repeated.count()
+    per_key = df.groupBy(*keys).agg(rows().alias("_n"))
+    number = per_key.agg(F.count_if(F.col("_n") > 1)).first()[0]
     if number == 0:
         return df
     if number > FEW_KEYS:
         return one_per_key(df, keys, first)
+    repeated = materialise(per_key.filter(F.col("_n") > 1).select(*keys))
     several, single = split_rows(df, keys, repeated)
     return single.unionByName(one_per_key(several, keys, first))

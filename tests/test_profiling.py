@@ -6,7 +6,7 @@ import places
 import pytest
 from pyspark.sql import functions as F
 
-from plazaframe.operators import distribution, durable, profiling
+from plazaframe.operators import cleaning, distribution, durable, profiling, scaling
 from plazaframe.schemas import KEYS, SCHEMAS
 from plazaframe.sinks.files import bounded_sample, write_csv, write_tables
 from plazaframe.sources.tables import Source, counted, held, observed, open_table, open_tables
@@ -212,3 +212,14 @@ def test_observed_columns_are_still_pruned(spark, tmp_path, capsys):
     watched, _ = observed(open_table(spark, Source(str(tmp_path / "p"))))
     watched.select("b").explain()
     assert "ReadSchema: struct<b:bigint>" in capsys.readouterr().out
+
+
+def test_odd_column_names(spark):
+    names = ["it's", "a`b", "c.d", "e\\f"]
+    df = spark.createDataFrame([("x", 1, None, 2.0), ("x", 3, 4, 5.0)], "a string, b int, c int, d double").toDF(*names)
+    assert {r[0] for r in rows(profiling.null_report(df, "it's", keys=[]))} == set(names)
+    found = profiling.validation_dict(profiling.validation_report(df, "t"))["columns"]
+    assert found["c.d"]["null_count"] == "1" and found["e\\f"]["max"] == "5.0" and found["it's"]["distinct_count"] == "1"
+    assert rows(distribution.quartiles(df, ["a`b"])) == [("a`b", 1.0, 1.0, 3.0)]
+    assert scaling.constant_columns(df) == ["c.d", "it's"]
+    assert cleaning.fill_values(df, ["a`b", "c.d"], "mean") == ({"a`b": 2.0, "c.d": 4.0}, 2)
