@@ -134,7 +134,7 @@ def reduce_rows(df: DataFrame, settings: Settings) -> DataFrame:
     sampled = sample_rows(df, settings.sample_fraction, settings.sample_seed)
     if not settings.components:
         return sampled
-    skip = [f"{c}_bin" for c in settings.bins]
+    skip = [*settings.scale_exclude, *(f"{c}_bin" for c in settings.bins)]
     return principal_components(sampled, scaling.scalable(sampled, skip), settings.components)
 
 

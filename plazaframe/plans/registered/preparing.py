@@ -182,13 +182,13 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "bucketize",
-    """SELECT o_orderkey, CASE WHEN o_totalprice < 1000 OR o_totalprice > 400000 THEN NULL
+    """SELECT o_orderkey, CASE WHEN o_totalprice < 1000 OR o_totalprice > 400000 THEN -1
                                WHEN o_totalprice < 100000 THEN 0 WHEN o_totalprice < 250000 THEN 1 ELSE 2 END AS o_totalprice_bin
        FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
     binned = scaling.with_bins(t.orders.select("o_orderkey", "o_totalprice"), {"o_totalprice": [1000, 100000, 250000, 400000]})
-    return binned.drop("o_totalprice")
+    return binned.drop("o_totalprice").fillna(-1)
 
 
 def order_settings() -> preparation.Settings:
@@ -299,3 +299,16 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     found = reducing.principal_components(t.embeddings, ["embedding"], 3)
     return found.select("vec_id", *(F.round(F.col("components")[i], 6).alias(f"c{i}") for i in range(3)))
+
+
+@query(
+    "pca_norms",
+    """SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 4) AS norm
+       FROM embeddings""",
+)
+def _(t: Tables) -> DataFrame:
+    """All components together only turn the vectors, so the lengths stay."""
+    width = t.embeddings.agg(F.max(F.size("embedding"))).first()[0]
+    turned = reducing.principal_components(t.embeddings, ["embedding"], width)
+    squares = F.aggregate("components", F.lit(0.0), lambda total, x: total + x * x)
+    return turned.select("vec_id", F.round(squares, 4).alias("norm"))

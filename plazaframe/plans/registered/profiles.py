@@ -44,6 +44,17 @@ def _(t: Tables) -> DataFrame:
     return profiling.string_distinct(t.documents.withColumn("lang", F.nullif("lang", F.lit("de"))))
 
 
+@query(
+    "string_distinct_sketch",
+    """SELECT 'o_orderstatus' AS "column", count(*) AS distinct_count FROM (SELECT DISTINCT nullif(o_orderstatus, 'P') FROM orders)
+       UNION ALL SELECT 'o_orderpriority', count(*) FROM (SELECT DISTINCT o_orderpriority FROM orders)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The sketch, on columns with so few values that it cannot be off."""
+    gappy = t.orders.withColumn("o_orderstatus", F.nullif("o_orderstatus", F.lit("P")))
+    return profiling.string_distinct(gappy, exact=False)
+
+
 @query(
     "duplicate_report",
     """SELECT 'lineitem' AS "table", count(*) AS total_rows,
@@ -126,6 +137,19 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "validation_status",
+    """SELECT 'orders' AS "table", true AS ok, count(*) AS rows FROM orders
+       UNION ALL SELECT 'pages', true, count(*) FROM pages UNION ALL SELECT 'nowhere', false, 0""",
+)
+def _(t: Tables) -> DataFrame:
+    """Validation goes on after a table that cannot be opened."""
+    openers = {"orders": lambda: t.orders, "nowhere": lambda: t.nowhere, "pages": lambda: t.pages}
+    reports, status = profiling.validate_tables(t.spark, openers)
+    found = t.spark.createDataFrame([(name, int(r["rows"])) for name, r in reports.items()], "table string, rows bigint")
+    return status.select("table", "ok").join(found, "table", "left").fillna(0, ["rows"])
+
+
 @query(
     "impact",
     """SELECT 'lineitem' AS "table", raw_rows, proc_rows, proc_rows - raw_rows AS delta_rows, 11::BIGINT AS raw_cols,

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plazaframe.functions.measures import rows
 from plazaframe.operators import durable, profiling
+from plazaframe.plans import catalogue
 from plazaframe.plans.registered.registry import query
-from plazaframe.plans.sample_tables import Tables
+from plazaframe.plans.sample_tables import Tables, line_reviews, supplier_places
 from plazaframe.sinks.files import write_csv, write_tables
 from plazaframe.sources.tables import Source, counted, observed, open_table, open_tables, parquet_sources
 
@@ -57,3 +59,28 @@ def _(t: Tables) -> DataFrame:
     counted = profiling.overview(found)
     told = t.spark.createDataFrame(list(written.items()), "table string, written bigint")
     return told.join(counted.select("table", F.col("rows").alias("found")), "table")
+
+
+@query(
+    "answers_to_csv",
+    """SELECT 'highly_voted_reviews' AS question, least(20, count(*) FILTER (l_extendedprice + l_discount + l_tax > 10
+              AND l_quantity >= 4)) AS lines FROM lineitem
+       UNION ALL SELECT 'reviews_by_month', count(DISTINCT strftime(l_shipdate, '%Y-%m')) FROM lineitem
+       UNION ALL SELECT 'latest_review_per_place', least(30, count(DISTINCT l_suppkey)) FROM lineitem
+       UNION ALL SELECT 'most_reviewed_places', least(20, count(*)) FROM
+         (SELECT l_suppkey FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_suppkey HAVING count(*) >= 50)
+       UNION ALL SELECT 'five_star_food_reviews', least(30, count(*)) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+         WHERE l_quantity = 5 AND contains(r_name, 'A')
+       UNION ALL SELECT 'cumulative_reviews', least(30, count(*)) FROM lineitem""",
+)
+def _(t: Tables) -> DataFrame:
+    """All questions about reviews, written and read back; the region stands for the categories with 'Food' for 'A'."""
+    places = supplier_places(t)
+    categories = F.replace(F.col("state"), F.lit("A"), F.lit("Food"))
+    frames = {"business": places.withColumn("categories", categories), "review": line_reviews(t)}
+    folder = durable.new_folder(t.spark)
+    paths = catalogue.write_answers("review", frames, folder)
+    lines = [t.spark.read.csv(p, header=True).agg(rows().alias("lines")) for p in paths]
+    named = [df.select(F.lit(p.rsplit("/", 1)[1]).alias("question"), "lines") for df, p in zip(lines, paths)]
+    return profiling.stacked(named)

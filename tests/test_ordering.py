@@ -142,3 +142,26 @@ def test_stats_by_attribute_equals_join_then_group(spark):
     both = fact.join(dim, "k").groupBy("k", "s").agg(F.count("id").alias("n"), F.avg("v").alias("m"))
     keyed = aggregate.stats_by_attribute(fact, dim, "k", ["k", "s"], counts={"n": "id"}, means={"m": "v"})
     assert rows(keyed) == rows(both)
+
+
+def test_adaptive_execution_splits_a_hot_key_in_a_lookup(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        hot = F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 1000).cast("string"))
+        df = spark.range(0, 300_000, 1, 8).select(hot.alias("k"), F.xxhash64("id").alias("v"))
+        found = skew.attach(df, df.groupBy("k").agg(F.count("v").alias("n")), ["k"])
+        assert found.filter("v <> 0").groupBy("k").agg((F.count("v") == F.max("n")).alias("same")).filter("not same").count() == 0
+        narrow = found.filter("v <> 0")
+        narrow.collect()
+        assert "SortMergeJoin(skew=true)" in narrow._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
