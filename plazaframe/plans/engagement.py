@@ -11,7 +11,7 @@ from plazaframe.operators.aggregate import group_stats
 from plazaframe.operators.durable import materialise
 from plazaframe.operators.ranking import first_rows, top_ranked
 from plazaframe.operators.sequence import previous_value
-from plazaframe.operators.skew import HOT_ROWS, split_rows
+from plazaframe.operators.skew import HOT_ROWS
 from plazaframe.plans.business import open_places
 
 
@@ -66,15 +66,20 @@ def good_places_with_tips(
 def tip_gaps(tip: DataFrame, n: int = 30, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Days between each tip and the same user's tip before; the first ``n`` by user and date.
 
-    Every user with two dated tips has at least one gap, so the first ``n`` such users are
-    enough, and only their tips are put in order.
+    All predecessors of a tip sort before it, so the first rows of the table know their gaps. Only
+    if a few times ``n`` rows hold too few gaps (most of the first users have one tip) is the
+    whole table put in order.
     """
-    dates = tip.select("user_id", "business_id", "date")
-    several = group_stats(dates, ["user_id"], counts={"dated": "date"}).filter(F.col("dated") > 1)
-    leading = first_rows(several, n, ["user_id"], ties=[], columns=["user_id"])
-    theirs, _ = split_rows(dates, ["user_id"], materialise(leading))
-    own = previous_value(theirs, ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows)
-    later = own.filter(F.col("prev_tip_date").isNotNull())
-    gaps = later.withColumn("days_since_prev_tip", days_between("prev_tip_date", "date"))
-    ties = ["business_id", "prev_tip_date"]
-    return first_rows(gaps, n, ["user_id", "date"], ties=ties, columns=gaps.columns)
+    columns = ["user_id", "business_id", "date"]
+    order = ["user_id", "date"]
+    dated = tip.select(*columns)
+    head = materialise(first_rows(dated, 4 * n, order, ties=["business_id"], columns=columns))
+
+    def gaps(part: DataFrame) -> DataFrame:
+        own = previous_value(part, ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows)
+        later = own.filter(F.col("prev_tip_date").isNotNull())
+        return later.withColumn("days_since_prev_tip", days_between("prev_tip_date", "date"))
+
+    found = gaps(head)
+    found = found if found.count() >= n else gaps(dated)
+    return first_rows(found, n, order, ties=["business_id", "prev_tip_date"], columns=found.columns)

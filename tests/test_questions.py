@@ -4,6 +4,8 @@ import json
 
 import places
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from plazaframe.plans import business, catalogue, engagement, review, user
 from plazaframe.sources.tables import Source, json_sources
@@ -247,6 +249,20 @@ def test_tip_gaps(t, hot_rows):
     assert rows(engagement.tip_gaps(t["tip"], n=1, hot_rows=hot_rows), "business_id") == [("b1",)]
 
 
+@pytest.mark.parametrize("n", [1, 3, 30, 200])
+def test_tip_gaps_from_the_head_equal_those_of_the_whole(spark, n):
+    # The first users have one tip each, so that the head alone is not enough for a small n.
+    singles = spark.range(50).selectExpr("concat('a', id) as user_id", "'b1' as business_id", "'2020-01-01' as date")
+    many = spark.range(400).selectExpr(
+        "concat('c', id % 7) as user_id", "concat('b', id) as business_id", "cast(date_add(date'2020-01-01', cast(id % 90 as int)) as string) as date"
+    )
+    tips = singles.unionByName(many).withColumn("text", F.lit("x"))
+    in_turn = Window.partitionBy("user_id").orderBy("date", "business_id")
+    whole = tips.withColumn("prev", F.lag("date").over(in_turn)).filter("prev is not null").orderBy("user_id", "date", "business_id").limit(n)
+    wanted = rows(whole.selectExpr("user_id", "business_id", "date", "prev", "datediff(date, prev)"))
+    assert rows(engagement.tip_gaps(tips, n=n)) == wanted
+
+
 # ---- running them
 
 
