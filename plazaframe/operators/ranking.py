@@ -80,7 +80,8 @@ def percent_rank_over_all(
         earlier = Window.orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
         summed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
     else:
-        summed = total_before(cut_in_order(counts, [], falling, slice_count(df, slices)), [], falling, "_n")
+        parts = slices or slice_count(df, known["values"])
+        summed = total_before(cut_in_order(counts, [], falling, parts), [], falling, "_n")
     others = max(known["rows"] - 1, 1)
     return attach(df, summed.select(value, (F.col("_before") / F.lit(others)).alias(out)), [value])
 

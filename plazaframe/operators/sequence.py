@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise
-from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, slice_count, split_rows
+from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, split_rows
 
 # Helper columns.
 _SLICE, _COPIES, _COPY, _AMOUNT, _TOTAL = "_slice", "_copies", "_copy", "_amount", "_total"
@@ -91,8 +91,9 @@ def _by_heat(
     hot = hot_keys(df, keys, hot_rows=hot_rows, slices=slices)
     if hot is None:
         return ordinary(df)
-    heavy, light = split_rows(df, keys, hot)
-    return ordinary(light).unionByName(sliced(heavy, slice_count(df, slices)))
+    listed, parts = hot
+    heavy, light = split_rows(df, keys, listed)
+    return ordinary(light).unionByName(sliced(heavy, parts))
 
 
 def running_count(

@@ -17,27 +17,36 @@ from plazaframe.operators.durable import materialise
 # A group of at most this many rows is never worth splitting.
 HOT_ROWS = 2_000_000
 
+# Slices are told apart in a broadcast table, so there may not be too many.
+MOST_SLICES = 10_000
 
-def slice_count(df: DataFrame, slices: int | None = None) -> int:
-    """How many parts to cut data into: a few per shuffle task, so that tasks even out."""
-    return slices or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+def slice_count(df: DataFrame, number: int) -> int:
+    """How many parts to cut ``number`` rows into.
+
+    A few per shuffle task, so that tasks even out; more where parts would still be large.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(4 * width, min(MOST_SLICES, number // HOT_ROWS))
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, slices: int | None = None
-) -> DataFrame | None:
-    """Keys holding more than ``hot_rows`` rows and more than one slice's share of the table.
+) -> tuple[DataFrame, int] | None:
+    """Keys holding more than ``hot_rows`` rows and more than one slice's share of the table, and
+    the number of slices.
 
-    None if there are none, which one pass over the key columns tells: rows are counted per key
-    before the shuffle.  Fewer than ``slices`` keys can hold more than 1/slices of the rows, so
-    the answer always fits a broadcast.
+    None if there are no such keys, which one pass over the key columns tells: rows are counted
+    per key before the shuffle.  Fewer than ``slices`` keys can hold more than 1/slices of the
+    rows, so the keys always fit a broadcast.
     """
     per_key = df.groupBy(*keys).agg(rows().alias("_n"))
-    seen = per_key.agg(F.sum("_n").alias("all"), F.max("_n").alias("largest")).first()
-    bar = max(hot_rows, (seen["all"] or 0) // slice_count(df, slices))
+    seen = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("all"), F.max("_n").alias("largest")).first()
+    parts = slices or slice_count(df, seen["all"])
+    bar = max(hot_rows, seen["all"] // parts)
     if (seen["largest"] or 0) <= bar:
         return None
-    return materialise(per_key.filter(F.col("_n") > bar).select(*keys))
+    return materialise(per_key.filter(F.col("_n") > bar).select(*keys)), parts
 
 
 def _on(keys: Sequence[str], prefix: str) -> Column:

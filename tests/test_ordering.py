@@ -28,7 +28,11 @@ def visits(spark):
 def test_hot_keys_only_when_both_bars_are_passed(visits):
     assert skew.hot_keys(visits, ["who"]) is None
     assert skew.hot_keys(visits, ["who"], hot_rows=5000, slices=4) is None
-    assert rows(skew.hot_keys(visits, ["who"], hot_rows=10, slices=4)) == [("hot",)]
+    listed, slices = skew.hot_keys(visits, ["who"], hot_rows=10, slices=4)
+    assert rows(listed) == [("hot",)] and slices == 4
+    assert skew.slice_count(visits, 10) == 32
+    assert skew.slice_count(visits, 10**9) == 500
+    assert skew.slice_count(visits, 10**12) == 10_000
     assert skew.hot_keys(visits.filter("false"), ["who"], hot_rows=1) is None
 
 
