@@ -6,6 +6,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry_points
+from plazaframe.plans.registered import QUERIES
 
 FOLDER = entry_points.SMALL
 # Python workers and joins without keys have no place in any plan.
@@ -22,7 +23,7 @@ def test_entry(spark):
     assert entry_points.entry(spark).count() >= 25
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, con, name):
     df = entry_points.queries()[name](spark, FOLDER)
     plan = df._jdf.queryExecution().executedPlan().toString()
