@@ -93,7 +93,7 @@ def rules() -> dict[str, Column]:
     return {
         "symbols": 10 * F.col("n_symbols") > F.col("n_words"),
         "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 15 * F.col("n_words")),
-        "repeated_lines": 10 * F.col("n_dup_lines") > 3 * F.col("n_lines"),
+        "repeated_lines": (F.col("n_dup_lines") > 2) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
         "capitals": 10 * F.length(F.regexp_replace(text, r"\P{Lu}+", "")) > 4 * letters,
         "letters": 10 * letters < 6 * F.col("word_chars"),
         "exclamations": 10 * _count(text, "!?") > 3 * F.col("n_words"),
