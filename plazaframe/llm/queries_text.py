@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from plazaframe.llm import language, lines
+from plazaframe.llm import language, lines, near
 from plazaframe.llm.queries import documents, query
 
 
@@ -18,3 +18,8 @@ def op6(spark, folder):
     learned = language.dictionaries(docs.where(~F.coalesce(held_out, F.lit(False))))
     found = language.identify(docs, learned)
     return found.withColumnRenamed("id", "doc_id").select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op10_order_minhash")
+def op10(spark, folder):
+    return near.near_duplicates(documents(spark, folder)).withColumnRenamed("id", "doc_id")
