@@ -16,6 +16,8 @@ rows get equal spans. An empty table gives no rows. Columns besides id and text
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -74,11 +76,11 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {kind: F.coalesce(found[kind], none) for kind in KINDS}
 
 
-def find_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, its hash, and an array of spans for each kind."""
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def find_base(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
+    """doc_id, text, its hash, an array of spans for each kind, and the ``carried`` columns in a struct."""
+    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("carried"))
     found = base_spans(F.col("text"))
-    return slim.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", *(found[kind].alias(kind) for kind in KINDS))
+    return slim.select("doc_id", F.xxhash64("text").alias("text_hash"), "text", *(found[kind].alias(kind) for kind in KINDS), "carried")
 
 
 def _written(kind: str, spans: Column) -> Column:
@@ -129,14 +131,14 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return placed.groupBy("doc_id", "text_hash").agg(spans.alias("terms"))
 
 
-def find_personal(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT) -> DataFrame:
-    """Per document its text, the spans of each kind, and those of disclosing terms (``terms``)."""
-    base = find_base(docs, id_col=id_col, text_col=text_col)
+def find_personal(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, support: int = SUPPORT, carry: Sequence[str] = ()) -> DataFrame:
+    """Per document its text, the spans of each kind, those of disclosing terms (``terms``), and the ``carried`` columns in a struct."""
+    base = find_base(docs, id_col=id_col, text_col=text_col, carry=carry)
     extra = disclosing_terms(docs, id_col=id_col, text_col=text_col, threshold=threshold, support=support)
     extra = extra.select(F.col("doc_id").alias("of_doc"), F.col("text_hash").alias("of_text"), "terms")
     same = base["doc_id"].eqNullSafe(extra["of_doc"]) & (base["text_hash"] == extra["of_text"])
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    return base.join(extra, same, "left").select("doc_id", "text", *KINDS, F.coalesce("terms", none).alias("terms"))
+    return base.join(extra, same, "left").select("doc_id", "text", *KINDS, F.coalesce("terms", none).alias("terms"), "carried")
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -147,10 +149,13 @@ def digest(found: DataFrame) -> DataFrame:
     return found.select("doc_id", *(F.size(kind).cast("long").alias(f"n_{kind}") for kind in KINDS), F.sha2(base, 256).alias("base_sha256"), every.alias("spans"))
 
 
+def _labelled(spans: str, kind: str) -> Column:
+    return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"<{kind.upper()}>").alias("label")))
+
+
 def sanitised(found: DataFrame) -> Column:
     """The text with every span replaced by its kind in angle brackets; of overlapping spans the first names the place."""
-    labelled = F.concat(*(F.transform(kind, lambda s, k=kind: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"<{k.upper()}>").alias("label"))) for kind in KINDS),
-                        F.transform("terms", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit("<TERM>").alias("label"))))
+    labelled = F.concat(*(_labelled(kind, kind) for kind in KINDS), _labelled("terms", "term"))
     zero = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("out"))
     text = F.col("text")
 
