@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def row_total(names: Sequence[str]) -> Column:
@@ -24,3 +25,9 @@ def mean_from(total: Column, n: Column) -> Column:
 
 def rows() -> Column:
     return F.count(F.lit(1))
+
+
+def safe_sum(df: DataFrame, column: str) -> Column:
+    """The sum of a column; large whole numbers are summed as decimals, which do not overflow."""
+    large = isinstance(df.schema[column].dataType, T.LongType)
+    return F.sum(F.col(column).cast("decimal(38,0)") if large else F.col(column))

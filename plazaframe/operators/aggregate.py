@@ -7,8 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plazaframe.functions.measures import mean_from
-from plazaframe.operators.durable import materialise
+from plazaframe.functions.measures import mean_from, safe_sum
 from plazaframe.operators.skew import attach
 
 Named = Mapping[str, str]
@@ -19,22 +18,25 @@ def group_stats(df: DataFrame, by: Sequence[str], *, counts: Named = {}, sums: N
     return df.groupBy(*by).agg(
         *(F.count(c).alias(out) for out, c in counts.items()),
         *(F.sum(c).alias(out) for out, c in sums.items()),
-        *(mean_from(F.sum(c), F.count(c)).alias(out) for out, c in means.items()),
+        *(mean_from(safe_sum(df, c), F.count(c)).alias(out) for out, c in means.items()),
     )
 
 
 def stats_by_attribute(
-    fact: DataFrame, dimension: DataFrame, key: str, by: Sequence[str], *, counts: Named = {}, means: Named = {}
+    fact: DataFrame, dimension: DataFrame, key: str, by: Sequence[str], *, counts: Named = {}, means: Named = {}, selective: bool = False
 ) -> DataFrame:
     """Counts and means of a fact table, grouped by attributes of the dimension it points to.
 
     The fact is reduced to one row per key before it is joined, so a key with a huge number of
     facts costs no more than any other, and the partial sums are merged afterwards.  A key that
-    the dimension lists twice counts twice, as in the plain join.
+    the dimension lists twice counts twice, as in the plain join.  Where the dimension is filtered
+    down to few keys (``selective``), facts of other keys go before they are reduced.
     """
+    if selective:
+        fact = fact.join(dimension.select(key), key, "left_semi")
     parts = fact.groupBy(key).agg(
         *(F.count(c).alias(f"_count_{out}") for out, c in counts.items()),
-        *(F.sum(c).alias(f"_sum_{out}") for out, c in means.items()),
+        *(safe_sum(fact, c).alias(f"_sum_{out}") for out, c in means.items()),
         *(F.count(c).alias(f"_size_{out}") for out, c in means.items()),
     )
     attributes = list(dict.fromkeys([key, *by]))
@@ -55,4 +57,4 @@ def with_group_mean(df: DataFrame, by: Sequence[str], value: str, out: str) -> D
     means are computed with map-side partial sums and looked up.
     """
     means = group_stats(df.select(*by, value), by, means={out: value})
-    return attach(df, materialise(means), by)
+    return attach(df, means, by)

@@ -9,12 +9,9 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.columns import comparable, missing_sql, numeric_columns, present, quoted, string_columns
 from plazaframe.functions.measures import rows
-from plazaframe.operators.durable import materialise
+from plazaframe.operators.durable import settled
+from plazaframe.operators.quantiles import exact_quantiles
 from plazaframe.operators.ranking import one_per_key
-from plazaframe.operators.skew import split_rows
-
-# Keys that may be broadcast: this many take a few megabytes.
-FEW_KEYS = 100_000
 
 
 def without_null_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,18 +34,21 @@ def fill_values(
     df: DataFrame,
     columns: Sequence[str],
     method: str = "median",
-    relative_error: float = 0.01,
+    relative_error: float | None = None,
     *,
     keys: Sequence[str] = (),
 ) -> tuple[dict[str, float], int]:
-    """What to put for a missing number, per column, and how many rows the table has; one pass.
+    """What to put for a missing number, per column, and how many rows the table has.
 
-    Only rows that have all ``keys`` are measured, though all are counted.  The median is within
-    ``relative_error`` of the middle rank, found with a sketch of bounded size.  A column without
-    any value is filled with 0.
+    Only rows that have all ``keys`` are measured, though all are counted.  The median is exact;
+    with ``relative_error`` it comes, in one pass, from a sketch of bounded size whose rank is off by
+    at most that share of the rows.  A column without any value is filled with 0.
     """
     if method not in ("median", "mean"):
         raise ValueError(f"unknown way to fill numbers: {method!r}")
+    if method == "median" and relative_error is None:
+        middle = exact_quantiles(without_null_keys(df, keys), columns, [0.5])
+        return {c: 0.0 if v[0] is None else v[0] for c, v in middle.items()}, df.count()
     keyed = [f"{quoted(k)} IS NOT NULL" for k in present(df, keys)]
     sought = ["count(1) AS n"]
     for i, c in enumerate(columns):
@@ -80,7 +80,7 @@ def impute(
     method: str = "median",
     text: str = "Unknown",
     *,
-    relative_error: float = 0.01,
+    relative_error: float | None = None,
     leave: Iterable[str] = (),
 ) -> DataFrame:
     """Drop rows without a key, then fill every other column but those to ``leave``."""
@@ -95,20 +95,16 @@ def deduplicate(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | No
     Unlike ``dropDuplicates`` the survivor does not depend on the order of arrival.  A frame
     that lacks one of the keys is left alone.
 
-    A pass over the key columns finds the keys that occur more than once.  If there are none,
-    nothing else is done; if they are few, only their rows are shuffled; and if they are many,
-    each task first drops all but one row per key.
+    A pass over the key columns tells whether any key occurs more than once. If none does, nothing
+    else is done; otherwise each task drops all but one row per key before the shuffle.
     """
     if not keys or present(df, keys) != list(keys):
         return df
     rest = [comparable(df, c).asc() for c in df.columns if c not in keys]
     first = [*(order or []), *(rest or [F.col(keys[0]).asc()])]
+    df = settled(df)
     per_key = df.groupBy(*keys).agg(rows().alias("_n"))
     number = per_key.agg(F.count_if(F.col("_n") > 1)).first()[0]
     if number == 0:
         return df
-    if number > FEW_KEYS:
-        return one_per_key(df, keys, first)
-    repeated = materialise(per_key.filter(F.col("_n") > 1).select(*keys))
-    several, single = split_rows(df, keys, repeated)
-    return single.unionByName(one_per_key(several, keys, first))
+    return one_per_key(df, keys, first)

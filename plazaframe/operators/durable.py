@@ -1,31 +1,36 @@
 """Writing an intermediate table once, so that several passes can read it.
 
-The table goes to the folder the cluster names in ``spark.checkpoint.dir`` and comes back as a
+The table goes to the folder the cluster names in ``spark.checkpoint.dir``, unless the session names
+one of its own in ``plazaframe.scratch.dir`` (a ``scratch`` block does), and comes back as a
 plain Parquet scan: it outlives executors, later passes read only the columns they need, and
 Catalyst knows its real size, so it is broadcast only when it is under the session's threshold.
+
+There is no default folder: without a setting an error is raised. What was written stays until ``drop_materialised``
+or the end of a ``scratch`` block deletes it.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLUSTER, SETTING = "spark.checkpoint.dir", "plazaframe.scratch.dir"
 
-def scratch_folder(spark: SparkSession) -> str:
-    """This application's part of the shared folder.
 
-    A temporary folder is made only in local mode, where nobody else has to see it.
-    """
-    context = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+def named_folder(spark: SparkSession) -> str | None:
+    """The folder that a setting names."""
+    return spark.conf.get(SETTING, None) or spark.conf.get(CLUSTER, None) or spark.sparkContext.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
+    root = named_folder(spark)
     if not root:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="plazaframe-"))
-        root = context.getCheckpointDir()
-    return f"{root.rstrip('/')}/plazaframe-{context.applicationId}"
+        raise RuntimeError(f"set {CLUSTER} to a folder that all executors share")
+    return f"{root.rstrip('/')}/plazaframe-{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -41,8 +46,31 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` itself if every evaluation gives the same rows, else what one evaluation gave.
+
+    Operators that read their input more than once would otherwise join the rows of different draws.
+    """
+    return df if df._jdf.queryExecution().analyzed().deterministic() else materialise(df)
+
+
 def drop_materialised(spark: SparkSession) -> None:
     """Delete what this application materialised; frames built on it become unusable."""
     jvm = spark.sparkContext._jvm
     folder = jvm.org.apache.hadoop.fs.Path(scratch_folder(spark))
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str) -> Iterator[None]:
+    """Intermediate tables go below ``folder`` within the block, and are deleted at its end."""
+    before = spark.conf.get(SETTING, None)
+    spark.conf.set(SETTING, folder)
+    try:
+        yield
+    finally:
+        drop_materialised(spark)
+        if before is None:
+            spark.conf.unset(SETTING)
+        else:
+            spark.conf.set(SETTING, before)

@@ -60,8 +60,18 @@ _NAME_SAFE = str.maketrans(". -", "___")
 
 
 def key_columns(keys: Iterable[str], prefix: str) -> dict[str, str]:
-    """Map key -> column name: the prefix and the key, made safe and cut at 50 characters."""
-    return {k: prefix + k.translate(_NAME_SAFE)[:50] for k in keys}
+    """Map key -> column name: the prefix and the key, with ``_`` for dots, spaces and hyphens.
+
+    Of keys that would share a name the later ones get a number, so that every key has its column.
+    """
+    named: dict[str, str] = {}
+    for key in dict.fromkeys(keys):
+        name = wanted = prefix + key.translate(_NAME_SAFE)
+        again = 2
+        while name in named.values():
+            name, again = f"{wanted}_{again}", again + 1
+        named[key] = name
+    return named
 
 
 def map_to_columns(df: DataFrame, column: str, names: Mapping[str, str]) -> DataFrame:

@@ -100,8 +100,10 @@ def _number_measures(names: Iterable[str], places: Mapping[str, int]) -> list[st
 
 
 def numeric_stats(df: DataFrame) -> DataFrame:
-    """min, max, mean and sample deviation (4 decimals) of every numeric column, in one pass."""
+    """min, max, mean and sample deviation (4 decimals) of every numeric column, in one pass; no rows without any."""
     places = {c: i for i, c in enumerate(numeric_columns(df))}
+    if not places:
+        return df.sparkSession.createDataFrame([], "column string, min double, max double, mean double, stddev double")
     summary = df.selectExpr(*_number_measures(places, places))
     ends = [[f"CAST({m}{i} AS DOUBLE)" for m in ("min", "max")] for i in places.values()]
     moments = [[f"round(CAST({m}{i} AS DOUBLE), 4)" for m in ("mean", "stddev")] for i in places.values()]
@@ -110,15 +112,20 @@ def numeric_stats(df: DataFrame) -> DataFrame:
 
 
 def string_distinct(df: DataFrame, *, exact: bool = True) -> DataFrame:
-    """Distinct values per text column, null being one of them.
+    """Distinct values per text column, null being one of them; 0 in an empty table, no rows without text columns.
 
-    Exact counts send each distinct (column, value) pair once per task; the approximate ones
-    send one sketch per task.
+    Exact counts send each distinct (column, value) pair once per task, long values as their
+    256-bit digests; the approximate ones send one sketch per task.
     """
     columns = string_columns(df)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, distinct_count bigint")
     if exact:
-        pairs = df.unpivot([], columns, "column", "value").distinct()
-        return pairs.groupBy("column").agg(rows().alias("distinct_count"))
+        short = [f"CASE WHEN length({quoted(c)}) < 64 THEN {quoted(c)} ELSE sha2({quoted(c)}, 256) END AS {quoted(c)}" for c in columns]
+        pairs = df.selectExpr(*short).unpivot([], columns, "column", "value").distinct()
+        counted = pairs.groupBy("column").agg(rows().alias("distinct_count"))
+        named = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+        return named.join(counted, "column", "left").fillna(0, ["distinct_count"])
     sketches = [
         f"approx_count_distinct({quoted(c)}) + max(CAST({quoted(c)} IS NULL AS INT)) AS n{i}" for i, c in enumerate(columns)
     ]

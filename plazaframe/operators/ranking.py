@@ -9,13 +9,9 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
-from plazaframe.operators.durable import materialise
-from plazaframe.operators.sequence import cut_in_order, total_before
+from plazaframe.operators.durable import materialise, settled
 from plazaframe.operators.skew import attach, slice_count
 
-# Distinct values that one task may rank by itself.
-ONE_TASK_ROWS = 500_000
-
 
 def ordered(df: DataFrame, order: Sequence[Column | str], ties: Sequence[str] = ()) -> DataFrame:
     """Sort the whole result; ``ties`` decide between equal rows (and let a hot value be split)."""
@@ -39,8 +35,9 @@ def top_ranked(df: DataFrame, by: Sequence[str], value: str, k: int, out: str) -
 
     The rank of a value is known from the k largest values of its group, so a narrow pass finds
     those (each task keeps k per group, however many tie) and the rows then look their rank up.
-    No group, and no crowd of ties, has to fit into one task.
+    No group, and no crowd of ties, has to fit into one task. The input is read twice: write a costly one first.
     """
+    df = settled(df)
     largest = Window.partitionBy(*by).orderBy(F.col(value).desc())
     heads = (
         df.select(*by, value)
@@ -65,25 +62,34 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], date: str, ties: Sequence
     return one_per_key(df, keys, [F.col(date).desc(), *[F.col(t).asc() for t in ties], *[c.asc() for c in rest]])
 
 
-def percent_rank_over_all(
-    df: DataFrame, value: str, out: str, *, slices: int | None = None, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def percent_rank_over_all(df: DataFrame, value: str, out: str, *, slices: int | None = None) -> DataFrame:
     """``percent_rank`` over the whole table, largest ``value`` first, without a one-task window.
 
-    Rows are first counted per distinct value (equal values share a rank), the counts are summed
-    up in order, slice by slice, and the rows look up their value.
+    Rows are cut into slices that follow each other in order and ranked within their slice; a table
+    of a few rows per slice says how many rows come before it. Rows with equal values may lie in
+    several slices: the rank of a slice's first value is the one it has where it occurs first.
     """
-    counts = materialise(df.groupBy(value).agg(rows().alias("_n")))
-    falling = [F.col(value).desc()]
-    known = counts.agg(F.count(F.lit(1)).alias("values"), F.coalesce(F.sum("_n"), F.lit(0)).alias("rows")).first()
-    if known["values"] <= one_task_rows:
-        earlier = Window.orderBy(*falling).rowsBetween(Window.unboundedPreceding, -1)
-        summed = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    else:
-        parts = slices or slice_count(df, known["values"])
-        summed = total_before(cut_in_order(counts, [], falling, parts), [], falling, "_n")
-    others = max(known["rows"] - 1, 1)
-    return attach(df, summed.select(value, (F.col("_before") / F.lit(others)).alias(out)), [value])
+    rest = [comparable(df, c) for c in df.columns if c != value]
+    tie = [F.xxhash64(*rest)] if rest else []
+    falling = F.col(value).desc()
+    apart = F.monotonically_increasing_id()  # parts identical rows, whose order does not matter
+    ranged = df.repartitionByRange(slices or slice_count(df, df.count()), F.col(value).desc(), *tie, apart)
+    cut = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
+    placed = F.struct(F.col(value).isNotNull().alias("known"), F.col(value).alias("v"))
+    ends = cut.groupBy("_slice").agg(rows().alias("_n"), F.max(placed).alias("_top"), F.min(placed).alias("_low"))
+    ends = materialise(ends)
+    lowest = attach(cut.select("_slice", placed.alias("_own")), ends.select("_slice", "_low"), ["_slice"]).where("_own = _low")
+    ends = ends.join(lowest.groupBy("_slice").agg(rows().alias("_lows")), "_slice")
+    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carry = materialise(ends.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
+    first = carry.select(F.col("_top").alias("_v"), F.col("_before").alias("_rank"))
+    last = carry.select("_low", F.col("_before") + F.col("_n") - F.col("_lows"))
+    begins = first.union(last).groupBy("_v").agg(F.min("_rank").alias("_begin"))
+    carry = carry.join(begins, F.col("_top") == F.col("_v")).select("_slice", "_top", "_before", "_begin")
+    others = max((ends.agg(F.sum("_n")).first()[0] or 0) - 1, 1)
+    local = cut.withColumn("_place", F.rank().over(Window.partitionBy("_slice").orderBy(F.col(value).desc())) - 1)
+    place = F.when(placed == F.col("_top"), F.col("_begin")).otherwise(F.col("_before") + F.col("_place"))
+    return attach(local, carry, ["_slice"]).select(*df.columns, (place / F.lit(others)).alias(out))
 
 
 def percent_rank_head(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
-from plazaframe.operators.durable import materialise
+from plazaframe.operators.durable import materialise, settled
 from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, split_rows
 
 # Helper columns.
@@ -53,7 +53,7 @@ def total_before(cut: DataFrame, keys: Sequence[str], order: Sequence[Column], a
     carry = by_slice.select(_SLICE, *keys, F.coalesce(F.sum(_TOTAL).over(in_turn), F.lit(0)).alias(_CARRY))
     within = Window.partitionBy(_SLICE, *keys).orderBy(*order).rowsBetween(*earlier)
     local = cut.withColumn(_BEFORE, F.coalesce(F.sum(amount).over(within), F.lit(0)))
-    joined = attach(local, carry, [_SLICE, *keys], bounded=True)
+    joined = attach(local, materialise(carry), [_SLICE, *keys])
     return joined.withColumn(_BEFORE, F.col(_BEFORE) + F.col(_CARRY)).drop(_CARRY, _SLICE)
 
 
@@ -88,6 +88,7 @@ def _by_heat(
     ordinary: Callable[[DataFrame], DataFrame],
     sliced: Callable[[DataFrame, int], DataFrame],
 ) -> DataFrame:
+    df = settled(df)
     hot = hot_keys(df, keys, hot_rows=hot_rows, slices=slices)
     if hot is None:
         return ordinary(df)
@@ -151,7 +152,7 @@ def previous_value(
         carry = ends.select(_SLICE, *keys, F.lag("_last").over(over_slices).alias(_CARRY))
         within = Window.partitionBy(_SLICE, *keys).orderBy(*placed)
         local = cut.withColumn(_BEFORE, F.lag(boxed).over(within))
-        joined = attach(local, carry, [_SLICE, *keys], bounded=True)
+        joined = attach(local, materialise(carry), [_SLICE, *keys])
         first_copy = F.coalesce(_BEFORE, _CARRY)["v"]
         told = F.when(F.col(_COPY) == 1, first_copy).otherwise(F.col(value))
         return _unpack(joined, _largest(cut), n).select(*df.columns, told.alias(out))

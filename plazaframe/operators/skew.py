@@ -17,9 +17,6 @@ from plazaframe.operators.durable import materialise
 # A group of at most this many rows is never worth splitting.
 HOT_ROWS = 2_000_000
 
-# Slices are told apart in a broadcast table, so there may not be too many.
-MOST_SLICES = 10_000
-
 
 def slice_count(df: DataFrame, number: int) -> int:
     """How many parts to cut ``number`` rows into.
@@ -27,26 +24,23 @@ def slice_count(df: DataFrame, number: int) -> int:
     A few per shuffle task, so that tasks even out; more where parts would still be large.
     """
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(4 * width, min(MOST_SLICES, number // HOT_ROWS))
+    return max(4 * width, number // HOT_ROWS)
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, slices: int | None = None
 ) -> tuple[DataFrame, int] | None:
-    """Keys holding more than ``hot_rows`` rows and more than one slice's share of the table, and
-    the number of slices.
+    """Keys holding more than ``hot_rows`` rows, whatever the size of the table, and the number of slices for their rows.
 
     None if there are no such keys, which one pass over the key columns tells: rows are counted
-    per key before the shuffle.  Fewer than ``slices`` keys can hold more than 1/slices of the
-    rows, so the keys always fit a broadcast.
+    per key before the shuffle.
     """
     per_key = df.groupBy(*keys).agg(rows().alias("_n"))
-    seen = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("all"), F.max("_n").alias("largest")).first()
-    parts = slices or slice_count(df, seen["all"])
-    bar = max(hot_rows, seen["all"] // parts)
-    if (seen["largest"] or 0) <= bar:
+    hot = F.col("_n") > hot_rows
+    seen = per_key.agg(F.max("_n").alias("largest"), F.coalesce(F.sum(F.when(hot, F.col("_n"))), F.lit(0)).alias("rows")).first()
+    if (seen["largest"] or 0) <= hot_rows:
         return None
-    return materialise(per_key.filter(F.col("_n") > bar).select(*keys)), parts
+    return materialise(per_key.filter(hot).select(*keys)), slices or slice_count(df, seen["rows"])
 
 
 def _on(keys: Sequence[str], prefix: str) -> Column:
@@ -61,18 +55,16 @@ def _renamed(df: DataFrame, keys: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({k: prefix + k for k in keys})
 
 
-def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], *, bounded: bool = False, how: str = "inner") -> DataFrame:
+def attach(df: DataFrame, extra: DataFrame, keys: Sequence[str], *, how: str = "inner") -> DataFrame:
     """Bring the other columns of ``extra`` to the rows of ``df`` with the same keys, null = null.
 
-    With ``bounded`` the caller vouches that ``extra`` has at most a few rows per slice, and it is
-    broadcast.  Otherwise Catalyst decides by size, and adaptive execution splits a hot key.
+    Catalyst decides by size whether ``extra`` is broadcast, and adaptive execution splits a hot key.
     """
     right = _renamed(extra, keys, "_k_")
-    right = F.broadcast(right) if bounded else right
     return df.join(right, _on(keys, "_k_"), how).drop(*["_k_" + k for k in keys])
 
 
 def split_rows(df: DataFrame, keys: Sequence[str], listed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is listed, all other rows), for a list known to be short."""
-    right = F.broadcast(_renamed(listed, keys, "_k_"))
+    """(rows whose key is listed, all other rows)."""
+    right = _renamed(listed, keys, "_k_")
     return df.join(right, _on(keys, "_k_"), "left_semi"), df.join(right, _on(keys, "_k_"), "left_anti")

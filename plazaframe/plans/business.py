@@ -47,6 +47,7 @@ def most_reviewed_in_state(
         ["business_id", "name", "city"],
         counts={"total_reviews": "review_id"},
         means={"avg_stars": "stars"},
+        selective=True,
     ).filter(F.col("total_reviews") >= at_least)
     columns = ["business_id", "name", "city", "total_reviews", "avg_stars"]
     return first_rows(per_place, n, [F.desc("total_reviews")], ties=["business_id"], columns=columns)

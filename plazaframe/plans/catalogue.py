@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from plazaframe.plans import business, engagement, review, user
+from plazaframe.schemas import COMPLIMENTS
 from plazaframe.sinks.files import write_csv
 from plazaframe.sources.tables import Source, held, open_tables
 
@@ -58,10 +59,14 @@ TOPICS: dict[str, list[Question]] = {
     ],
 }
 
-# The columns the questions read; long texts, maps and friend lists stay out of a cache.
+# The columns the questions read; review texts, maps and friend lists stay out of a cache.
 ASKED = {
     "business": ["business_id", "name", "city", "state", "stars", "review_count", "is_open", "categories"],
     "review": ["review_id", "user_id", "business_id", "stars", "date", "useful", "funny", "cool"],
+    "user": ["user_id", "name", "review_count", "fans", "average_stars", "useful", "yelping_since", "elite", *COMPLIMENTS],
+    "tip": ["user_id", "business_id", "date", "compliment_count", "text"],
+    "checkin": ["business_id", "date"],
+    "photo": ["photo_id", "business_id"],
 }
 
 
@@ -78,14 +83,15 @@ def write_answers(topic: str, frames: Mapping[str, DataFrame], folder: str, *, s
 
 
 def run_questions(
-    spark: SparkSession, sources: Mapping[str, Source], folder: str, *, cache: bool = True, single_file: bool = False
+    spark: SparkSession, sources: Mapping[str, Source], folder: str, *, cache: bool | None = None, single_file: bool = False
 ) -> list[str]:
     """Answer everything the available tables allow; returns the folders written.
 
-    ``cache`` keeps the columns the questions read; worth it for JSON, not for Parquet tables
-    larger than the cluster's memory.
+    ``cache`` keeps the columns the questions read; by default those of tables that are not Parquet, since
+    Parquet is read column by column anyway.
     """
     frames = open_tables(spark, sources)
-    with held(frames if cache else {}, ASKED) as kept:
+    dear = {name: df for name, df in frames.items() if (sources[name].format != "parquet" if cache is None else cache)}
+    with held(dear, ASKED) as kept:
         ready = {**frames, **kept}
         return [path for topic in TOPICS for path in write_answers(topic, ready, folder, single_file=single_file)]

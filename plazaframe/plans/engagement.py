@@ -64,22 +64,7 @@ def good_places_with_tips(
 
 
 def tip_gaps(tip: DataFrame, n: int = 30, *, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Days between each tip and the same user's tip before; the first ``n`` by user and date.
-
-    All predecessors of a tip sort before it, so the first rows of the table know their gaps. Only
-    if a few times ``n`` rows hold too few gaps (most of the first users have one tip) is the
-    whole table put in order.
-    """
-    columns = ["user_id", "business_id", "date"]
-    order = ["user_id", "date"]
-    dated = tip.select(*columns)
-    head = materialise(first_rows(dated, 4 * n, order, ties=["business_id"], columns=columns))
-
-    def gaps(part: DataFrame) -> DataFrame:
-        own = previous_value(part, ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows)
-        later = own.filter(F.col("prev_tip_date").isNotNull())
-        return later.withColumn("days_since_prev_tip", days_between("prev_tip_date", "date"))
-
-    found = gaps(head)
-    found = found if found.count() >= n else gaps(dated)
-    return first_rows(found, n, order, ties=["business_id", "prev_tip_date"], columns=found.columns)
+    """Days between each tip and the same user's tip before; the first ``n`` by user and date."""
+    own = previous_value(tip.select("user_id", "business_id", "date"), ["user_id"], ["date"], "date", "prev_tip_date", hot_rows=hot_rows)
+    found = own.filter(F.col("prev_tip_date").isNotNull()).withColumn("days_since_prev_tip", days_between("prev_tip_date", "date"))
+    return first_rows(found, n, ["user_id", "date"], ties=["business_id", "prev_tip_date"], columns=found.columns)

@@ -35,7 +35,7 @@ class Settings:
     fill_numbers: str = "median"  # or "mean"
     fill_text: str = "Unknown"
     fill_exclude: Sequence[str] = ()
-    median_error: float = 0.01
+    median_error: float | None = None  # None: exact
     remove_duplicates: bool = True
     prune: Sequence[str] = ()  # dropped once flattened
     screen: bool = True

@@ -22,7 +22,7 @@ from plazaframe.sinks.files import bounded_sample, write_tables
                coalesce(p_type, 'Unknown') AS p_type, p_retailprice FROM {GAPPY_PARTS}""",
 )
 def _(t: Tables) -> DataFrame:
-    return cleaning.impute(gappy_parts(t), ["p_partkey"], relative_error=1e-6)
+    return cleaning.impute(gappy_parts(t), ["p_partkey"])
 
 
 @query(
@@ -194,7 +194,6 @@ def _(t: Tables) -> DataFrame:
 def order_settings() -> preparation.Settings:
     return preparation.Settings(
         keys=["o_orderkey"],
-        median_error=1e-6,
         dates=["o_orderdate"],
         drop=["o_orderdate"],
         prune=["o_orderpriority"],

@@ -170,7 +170,7 @@ def _(t: Tables) -> DataFrame:
     ),
 )
 def _(t: Tables) -> DataFrame:
-    return distribution.quartiles(t.orders, ["o_custkey", "o_totalprice"], relative_error=1e-6)
+    return distribution.quartiles(t.orders, ["o_custkey", "o_totalprice"])
 
 
 @query(

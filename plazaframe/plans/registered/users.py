@@ -99,9 +99,8 @@ def _(t: Tables) -> DataFrame:
     """SELECT o_orderkey, o_custkey, percent_rank() OVER (ORDER BY o_custkey DESC) AS percentile_rank FROM orders""",
 )
 def _(t: Tables) -> DataFrame:
-    """The form for more distinct values than one task may rank."""
     orders = t.orders.select("o_orderkey", "o_custkey")
-    return ranking.percent_rank_over_all(orders, "o_custkey", "percentile_rank", slices=16, one_task_rows=0)
+    return ranking.percent_rank_over_all(orders, "o_custkey", "percentile_rank", slices=16)
 
 
 @query(

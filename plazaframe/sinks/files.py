@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from plazaframe.functions.columns import present
+from plazaframe.functions.columns import comparable, present
 from plazaframe.sources.tables import counted, observed
 
 
@@ -36,20 +37,23 @@ def write_tables(
     written = {}
     for name, df in frames.items():
         watched, seen = observed(df)
-        spread = watched.repartition(num_partitions) if num_partitions else watched.hint("rebalance")
-        writer = spread.write.mode("overwrite")
         keys = present(df, partition_by)
+        # Rows of one folder come together, so that a folder does not get a file from every task.
+        spread = watched.repartition(num_partitions) if num_partitions else watched.hint("rebalance", *keys)
+        writer = spread.write.mode("overwrite")
         (writer.partitionBy(*keys) if keys else writer).parquet(f"{folder}/{name}")
         written[name] = counted(seen)
     return written
 
 
 def bounded_sample(
-    df: DataFrame, fraction: float = 0.15, seed: int = 42, max_rows: int = 50_000, columns: Iterable[str] | None = None
+    df: DataFrame, fraction: float = 0.15, seed: int = 42, max_rows: int | None = None, columns: Iterable[str] | None = None
 ) -> DataFrame:
-    """A random sample of at most ``max_rows`` rows of the wanted columns, for a plot or a look.
+    """A random sample of the wanted columns, for a plot or a look.
 
-    Only those columns are read.  Fails if the frame has none of them.
+    Only those columns are read.  Fails if the frame has none of them.  With ``max_rows`` the
+    sample has at most that many rows, those with the least hash of seed and row, wherever they
+    lie in the table; each task keeps no more than that.
     """
     if columns is not None:
         wanted = list(columns)
@@ -57,4 +61,7 @@ def bounded_sample(
         if not kept:
             raise ValueError(f"the frame has none of the columns {wanted}")
         df = df.select(*kept)
-    return df.sample(False, fraction, seed).limit(max_rows)
+    drawn = df.sample(False, fraction, seed)
+    if max_rows is None:
+        return drawn
+    return drawn.orderBy(F.xxhash64(F.lit(seed), *[comparable(drawn, c) for c in drawn.columns])).limit(max_rows)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from plazaframe.operators import aggregate, ranking, sequence, skew
+from plazaframe.operators import aggregate, cleaning, ranking, sequence, skew
 
 
 def rows(df):
@@ -25,14 +25,14 @@ def visits(spark):
     return spark.createDataFrame(data, "who string, day string, what string").repartition(5).cache()
 
 
-def test_hot_keys_only_when_both_bars_are_passed(visits):
+def test_hot_keys_are_those_above_the_bar(visits):
     assert skew.hot_keys(visits, ["who"]) is None
     assert skew.hot_keys(visits, ["who"], hot_rows=5000, slices=4) is None
-    listed, slices = skew.hot_keys(visits, ["who"], hot_rows=10, slices=4)
+    listed, slices = skew.hot_keys(visits, ["who"], hot_rows=100, slices=4)
     assert rows(listed) == [("hot",)] and slices == 4
     assert skew.slice_count(visits, 10) == 32
     assert skew.slice_count(visits, 10**9) == 500
-    assert skew.slice_count(visits, 10**12) == 10_000
+    assert skew.slice_count(visits, 10**12) == 500_000
     assert skew.hot_keys(visits.filter("false"), ["who"], hot_rows=1) is None
 
 
@@ -66,16 +66,30 @@ def test_split_plan_gathers_no_key(visits, capsys):
     assert "_slice" in plan
 
 
-@pytest.mark.parametrize("bound", [0, 10_000])
-def test_percent_rank_equals_the_one_task_window(spark, bound):
+@pytest.mark.parametrize("slices", [1, 5, 40])
+def test_percent_rank_equals_the_one_task_window(spark, slices):
     rng = random.Random(3)
     data = [(i, rng.choice([None, 1.0, 2.0, float(rng.randint(3, 900))])) for i in range(3000)]
     df = spark.createDataFrame(data, "id int, v double")
     wanted = df.withColumn("p", F.percent_rank().over(Window.orderBy(F.col("v").desc())))
-    got = ranking.percent_rank_over_all(df, "v", "p", slices=5, one_task_rows=bound)
+    got = ranking.percent_rank_over_all(df, "v", "p", slices=slices)
     assert rows(got) == rows(wanted)
 
 
+def test_percent_rank_with_one_value_in_many_slices(spark):
+    data = [(i, 7.0 if i % 3 else float(i % 5)) for i in range(2000)]
+    df = spark.createDataFrame(data, "id int, v double")
+    wanted = df.withColumn("p", F.percent_rank().over(Window.orderBy(F.col("v").desc())))
+    assert rows(ranking.percent_rank_over_all(df, "v", "p", slices=12)) == rows(wanted)
+
+
+def test_inputs_that_vary_are_read_once(spark):
+    drawn = spark.range(2000).select((F.col("id") % 3).alias("g"), F.floor(F.rand() * 50).alias("v"), F.rand().alias("x"))
+    assert cleaning.deduplicate(drawn, ["g", "v"]).groupBy("g", "v").count().filter("count > 1").count() == 0
+    ranked = ranking.top_ranked(drawn, ["g"], "v", 1, "r")
+    assert ranked.select("g").distinct().count() == 3
+
+
 def test_percent_rank_of_one_and_no_rows(spark):
     one = spark.createDataFrame([(1, 5.0)], "id int, v double")
     assert rows(ranking.percent_rank_over_all(one, "v", "p")) == [(1, 5.0, 0.0)]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions import dates, text
 from plazaframe.operators import cleaning, flattening, reducing, scaling
+from plazaframe.operators.quantiles import exact_quantiles
 from plazaframe.plans import preparation
 from plazaframe.plans.preparation import Settings
 from plazaframe.schemas import KEYS
@@ -101,18 +102,31 @@ def test_impute_all_null_column_with_zero(spark):
         cleaning.impute(df, ["k"], "mode")
 
 
-def test_median_is_within_the_error(spark):
+def test_median_is_exact_or_within_the_error(spark):
     df = spark.range(10001).select(F.col("id").alias("v"))
-    assert abs(cleaning.fill_values(df, ["v"])[0]["v"] - 5000) <= 100
+    assert cleaning.fill_values(df, ["v"])[0]["v"] == 5000
+    assert abs(cleaning.fill_values(df, ["v"], relative_error=0.01)[0]["v"] - 5000) <= 100
+
+
+def test_quantiles_of_three_million_values_are_exact(spark):
+    df = spark.range(3_000_000).select((F.xxhash64("id") / 2**40).alias("v"), F.when(F.col("id") % 2 == 0, F.col("id")).alias("w"))
+    got = exact_quantiles(df, ["v", "w"], [0.25, 0.5, 0.75])
+    for c in ("v", "w"):
+        wanted = df.selectExpr(*(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {c})" for p in (0.25, 0.5, 0.75))).first()
+        assert got[c] == [float(x) for x in wanted]
+
+
+def test_quantiles_without_values(spark):
+    df = spark.createDataFrame([(None, float("nan"))], "a double, b double")
+    assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
+    assert exact_quantiles(df, [], [0.5]) == {}
 
 
 def test_complete_rows(spark):
     assert [r[0] for r in rows(cleaning.complete_rows(gaps(spark)))] == ["c"]
 
 
-@pytest.mark.parametrize("few", [0, 100])
-def test_deduplicate_keeps_the_smallest(spark, monkeypatch, few):
-    monkeypatch.setattr(cleaning, "FEW_KEYS", few)
+def test_deduplicate_keeps_the_smallest(spark):
     data = [("a", 2, {"x": "1"}), ("a", 1, {"y": "2"}), ("a", 1, {"x": "3"}), ("b", None, None), ("b", 5, None), (None, 1, None), (None, 2, None)]
     df = spark.createDataFrame(data, "k string, n int, m map<string,string>").repartition(3)
     got = cleaning.deduplicate(df, ["k"])
@@ -164,8 +178,11 @@ def test_flatten_users_and_checkins(t):
     assert flattening.flatten(t["tip"], "tip") is t["tip"]
 
 
-def test_key_columns_are_safe_and_short():
-    assert flattening.key_columns(["a.b c-d", "x" * 60], "attr_") == {"a.b c-d": "attr_a_b_c_d", "x" * 60: "attr_" + "x" * 50}
+def test_key_columns_are_safe_and_lose_no_key():
+    assert flattening.key_columns(["a.b c-d", "x" * 60], "attr_") == {"a.b c-d": "attr_a_b_c_d", "x" * 60: "attr_" + "x" * 60}
+    assert flattening.key_columns(["a.b", "a b", "a-b", "a.b"], "p_") == {"a.b": "p_a_b", "a b": "p_a_b_2", "a-b": "p_a_b_3"}
+    long = ["y" * 60 + "1", "y" * 60 + "2"]
+    assert len(set(flattening.key_columns(long, "p_").values())) == 2
 
 
 # ---- screening and scaling

@@ -198,6 +198,48 @@ def test_bounded_sample(t):
         bounded_sample(t["review"], columns=["nowhere"])
 
 
+def test_bounded_sample_draws_from_every_part(spark):
+    drawn = bounded_sample(spark.range(0, 160_000, 1, 16), 0.5, max_rows=1600)
+    found = drawn.groupBy(F.floor(F.col("id") / 10_000).alias("part")).count().collect()
+    assert sum(r["count"] for r in found) == 1600
+    assert len(found) == 16 and min(r["count"] for r in found) > 50
+
+
+def test_reports_on_awkward_tables(spark):
+    none = spark.createDataFrame([], "a string, n int")
+    assert rows(profiling.string_distinct(none)) == [("a", 0)]
+    texts, numbers = none.select("a"), none.select("n")
+    assert rows(profiling.numeric_stats(texts)) == [] and rows(profiling.string_distinct(numbers)) == []
+    assert rows(distribution.quartiles(numbers, [])) == [] and rows(distribution.quartiles(numbers, [], 0.01)) == []
+    assert {(r["column"], r["metric"], r["value"]) for r in profiling.validation_report(none, "t").collect()} >= {("a", "distinct_count", "0")}
+    long = spark.createDataFrame([("x" * 500,), ("x" * 500,), ("y" * 500,), (None,)], "a string")
+    assert rows(profiling.string_distinct(long)) == [("a", 3)]
+
+
+def test_histogram_leaves_infinite_values_out(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(100)] + [(float("inf"),), (float("-inf"),), (float("nan"),)], "v double")
+    assert sum(r["count"] for r in distribution.distribution(df, "v").collect()) == 100
+
+
+def test_scratch_deletes_what_it_held(spark, tmp_path):
+    with durable.scratch(spark, str(tmp_path)):
+        assert durable.materialise(spark.range(5)).count() == 5
+        assert list(tmp_path.iterdir())
+    assert not list(tmp_path.glob("*/*"))
+
+
+def test_without_a_folder_nothing_is_written(spark, monkeypatch):
+    monkeypatch.setattr(durable, "named_folder", lambda _: None)
+    with pytest.raises(RuntimeError):
+        durable.new_folder(spark)
+
+
+def test_partitioned_tables_get_few_files(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).select("id", (F.col("id") % 5).alias("k"))
+    assert write_tables({"t": df}, str(tmp_path), partition_by=["k", "nowhere"]) == {"t": 4000}
+    assert len(list(tmp_path.glob("t/k=*/*.parquet"))) <= 10
+
+
 def test_materialised_tables_can_be_dropped(spark):
     df = durable.materialise(spark.range(5))
     assert df.count() == 5
