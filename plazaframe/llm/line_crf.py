@@ -62,7 +62,7 @@ def measures(text: str) -> tuple[np.ndarray, np.ndarray]:
     kinds = np.where(codes < 1 << 16, _CLASS[np.minimum(codes, (1 << 16) - 1)], LOWER)
     breaks = codes == 10
     line = np.cumsum(breaks) - breaks
-    n = int(line[-1]) + 1 if len(line) else 1
+    n = int(breaks.sum()) + 1
     blank = kinds == BLANK
     count = np.bincount(line * 8 + kinds, minlength=8 * n).reshape(n, 8).astype(float)
     starts = ~blank & np.concatenate(([True], blank[:-1]))

@@ -76,6 +76,12 @@ def _without(text: str, gone: set[bytes]) -> tuple[str, int, int]:
     return "\n".join(kept), n, removed
 
 
+def same_bytes(several: DataFrame) -> DataFrame:
+    """id and digest of the passages whose bytes are those of the first one with their digest."""
+    firsts = several.where("id = first").select("digest", F.col("passage").alias("first_passage")).dropDuplicates(["digest"])
+    return several.where("id <> first").join(firsts, "digest").where(F.col("passage") == F.col("first_passage")).select("id", "digest")
+
+
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """id, text without repeated passages, n_lines, n_removed_lines, and the ``carried`` columns in a struct."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("carried"))
@@ -94,10 +100,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     found = slim.select("id", "text").mapInArrow(passages, "id long, digest binary, passage string").select(last, "digest", "passage")
     repeated = found.select("id", "digest").groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
     several = materialise(found.join(repeated, "digest").select("digest", "id", "first", "passage"))
-    firsts = several.where("id = first").select("digest", F.col("passage").alias("first_passage")).dropDuplicates(["digest"])
-    same_bytes = F.col("passage") == F.col("first_passage")
-    gone = several.where("id <> first").join(firsts, "digest").where(same_bytes).select("id", "digest")
-    gone = gone.groupBy(F.col("id").alias("of")).agg(F.collect_set("digest").alias("gone"))
+    gone = same_bytes(several).groupBy(F.col("id").alias("of")).agg(F.collect_set("digest").alias("gone"))
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -68,3 +68,65 @@ def top(vectors, queries, k):
         ranked = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
         out += [(q, i + 1, v, s) for i, (v, s) in enumerate(ranked)]
     return sorted(out)
+
+
+def labelled_runs(text, size=5):
+    words = (text or "").lower().split()
+    runs = [tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))] if words else []
+    seen, out = {}, []
+    for run in runs:
+        seen[run] = seen.get(run, 0) + 1
+        out.append((run, seen[run]))
+    return out
+
+
+def aligned(a, b):
+    """The longest common subsequence of two texts, by the textbook table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        new = [0]
+        for j, y in enumerate(b):
+            new.append(row[j] + 1 if x == y else max(row[j + 1], new[j]))
+        row = new
+    return row[-1]
+
+
+def near_classes(texts, similarity=0.8):
+    """texts: id -> text; id -> smallest id of its class, by comparing all pairs."""
+    runs = {i: labelled_runs(t) for i, t in texts.items()}
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(texts)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if runs[a] and runs[b] and set(runs[a]) & set(runs[b]):
+                common = aligned(runs[a], runs[b])
+                if common >= similarity * (len(runs[a]) + len(runs[b]) - common) - 1e-9:
+                    x, y = sorted((find(a), find(b)))
+                    root[y] = x
+    return {i: find(i) for i in texts}
+
+
+def without_repeats(rows, chunks):
+    """rows: (id, text) in id order; texts without multi-line chunks an earlier id has, or the text itself before."""
+    first = {}
+    for i, text in rows:
+        for lines in chunks(text or ""):
+            if len(lines) > 1:
+                first.setdefault("\n".join(lines), i)
+    out = {}
+    for i, text in rows:
+        kept, seen = [], set()
+        for lines in chunks(text or ""):
+            passage = "\n".join(lines)
+            if len(lines) > 1 and (first[passage] != i or passage in seen):
+                continue
+            seen.add(passage)
+            kept += lines
+        out[i] = None if text is None else "\n".join(kept)
+    return out

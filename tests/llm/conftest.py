@@ -1,0 +1,43 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+
+@pytest.fixture(scope="session")
+def model():
+    """Paths of the public vocabularies."""
+    tokenizers = pytest.importorskip("public_tokenizers")
+    return tokenizers.path
+
+
+@pytest.fixture(scope="session")
+def docs(spark):
+    """Documents with awkward rows: nulls, empty and odd texts, repeated rows, extra columns with clashing names."""
+    texts = [
+        (0, "The quick brown fox jumps over the lazy dog near the river bank today."),
+        (1, None),
+        (2, ""),
+        (3, " \n\t "),
+        (None, "A text without an id, all the same a text."),
+        (5, "mail joe@example.com or call +1 (587) 555-8467\nserver 10.0.0.1 card 4539 1488 0343 6467 end"),
+        (6, "word " * 3000),
+        (7, "日本語のテキスト ß Ünïcödé 😀 <|endoftext|> it's"),
+        (8, "same row"),
+        (8, "same row"),
+        (9, "\n\n\n"),
+        (10, "1234567890 " * 30),
+        (11, "x" * 40_000),
+    ]
+    rows = [(i, t, "en" if t else None, None, 1, 0.5, "part") for i, t in texts]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score double, id string")
+
+
+@pytest.fixture(scope="session")
+def sample_folder():
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("sample tables not here")
+    return folder
