@@ -97,8 +97,8 @@ def _(t: Tables) -> DataFrame:
 
 @query(
     "list_lengths",
-    """SELECT doc_id, CAST(CASE WHEN trim(text) <> '' THEN length(text) - length(replace(text, ',', '')) + 1 ELSE 0 END AS INTEGER)
-              AS checkin_count FROM documents""",
+    """SELECT doc_id, CAST(CASE WHEN trim(text) <> '' THEN len(string_split(text, ',')) ELSE 0 END AS INTEGER) AS checkin_count
+       FROM documents""",
 )
 def _(t: Tables) -> DataFrame:
     return flattening.flatten_checkins(roles(t.documents, doc_id="doc_id", date="text")).drop("date")

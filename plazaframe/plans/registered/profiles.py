@@ -143,8 +143,9 @@ def _(t: Tables) -> DataFrame:
        UNION ALL SELECT 'pages', true, count(*) FROM pages UNION ALL SELECT 'nowhere', false, 0""",
 )
 def _(t: Tables) -> DataFrame:
-    """Validation goes on after a table that cannot be opened."""
-    openers = {"orders": lambda: t.orders, "nowhere": lambda: t.nowhere, "pages": lambda: t.pages}
+    """Validation goes on after a table whose file is missing."""
+    missing = f"{t.folder}/nowhere.parquet"
+    openers = {"orders": lambda: t.orders, "nowhere": lambda: t.spark.read.parquet(missing), "pages": lambda: t.pages}
     reports, status = profiling.validate_tables(t.spark, openers)
     found = t.spark.createDataFrame([(name, int(r["rows"])) for name, r in reports.items()], "table string, rows bigint")
     return status.select("table", "ok").join(found, "table", "left").fillna(0, ["rows"])
