@@ -9,9 +9,10 @@ from plazaframe.functions.measures import rows
 from plazaframe.operators import durable, profiling
 from plazaframe.plans import catalogue
 from plazaframe.plans.registered.registry import query
-from plazaframe.plans.sample_tables import Tables, line_reviews, supplier_places
+from plazaframe.plans.sample_tables import Tables, event_tips, line_reviews, supplier_places
+from plazaframe.schemas import COMPLIMENTS, SCHEMAS
 from plazaframe.sinks.files import write_csv, write_tables
-from plazaframe.sources.tables import Source, counted, observed, open_table, open_tables, parquet_sources
+from plazaframe.sources.tables import Source, counted, json_sources, observed, open_table, open_tables, parquet_sources
 
 
 @query(
@@ -84,3 +85,50 @@ def _(t: Tables) -> DataFrame:
     lines = [t.spark.read.csv(p, header=True).agg(rows().alias("lines")) for p in paths]
     named = [df.select(F.lit(p.rsplit("/", 1)[1]).alias("question"), "lines") for df, p in zip(lines, paths)]
     return profiling.stacked(named)
+
+
+def six_tables(t: Tables) -> dict[str, DataFrame]:
+    """The six declared tables out of suppliers, lines, customers and events."""
+    whole = {c: F.col(c).cast("int") for c in ("useful", "funny", "cool")}
+    places = supplier_places(t).withColumns(
+        {"review_count": F.length("name") * 20, "is_open": F.lit(1), "categories": F.concat(F.lit("Restaurants, Food, "), "city"), "stars": F.lit(4.5)}
+    )
+    numbers = {c: (F.col("c_custkey") % 7).cast("int") for c in COMPLIMENTS}
+    users = t.customer.select(
+        F.col("c_custkey").cast("string").alias("user_id"),
+        F.col("c_name").alias("name"),
+        F.lit("2012-05-06 07:08:09").alias("yelping_since"),
+        (F.col("c_custkey") * 5).cast("int").alias("review_count"),
+        F.col("c_custkey").cast("int").alias("fans"),
+        F.lit(3.5).alias("average_stars"),
+        F.col("c_acctbal").cast("int").alias("useful"),
+        F.when(F.col("c_nationkey") > 5, "2012, 2013").otherwise("").alias("elite"),
+        *(n.alias(c) for c, n in numbers.items()),
+    )
+    tips = event_tips(t).withColumns({"compliment_count": F.col("compliment_count").cast("int"), "business_id": F.col("business_id") % 10 + 1})
+    visits = t.supplier.select(F.col("s_suppkey").alias("business_id"), F.lit("2020-01-01 10:00:00, 2020-01-02 11:00:00").alias("date"))
+    photos = t.events.select(F.col("event_id").alias("photo_id"), (F.col("user_id") % 10 + 1).alias("business_id"))
+    return {"business": places, "review": line_reviews(t).withColumns({**whole, "stars": F.col("stars").cast("double")}), "user": users, "tip": tips, "checkin": visits, "photo": photos}
+
+
+@query(
+    "run_everything",
+    "SELECT topic, 6::BIGINT AS answered, 6::BIGINT AS equal FROM (SELECT unnest(['business', 'user', 'review', 'engagement']) AS topic)",
+)
+def _(t: Tables) -> DataFrame:
+    """All 24 questions from JSON to CSV; what was written must hold the rows of the answers, which other queries check."""
+    raw, out = durable.new_folder(t.spark), durable.new_folder(t.spark)
+    for name, df in six_tables(t).items():
+        df.write.json(f"{raw}/{name}")
+    sources = json_sources({name: f"{raw}/{name}" for name in SCHEMAS})
+    written = catalogue.run_questions(t.spark, sources, out)
+    frames = open_tables(t.spark, sources)
+    told = []
+    for topic in catalogue.TOPICS:
+        equal = 0
+        for name, answer in catalogue.answers(topic, frames).items():
+            back = t.spark.read.csv(f"{out}/{topic}/{name}", header=True)
+            texts = [df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in answer.columns)) for df in (answer, back)]
+            equal += texts[0].exceptAll(texts[1]).isEmpty() and texts[1].exceptAll(texts[0]).isEmpty()
+        told.append((topic, sum(f"/{topic}/" in path for path in written), equal))
+    return t.spark.createDataFrame(told, "topic string, answered bigint, equal bigint")
