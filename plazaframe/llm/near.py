@@ -6,14 +6,15 @@ with the least hash values in the order of the text, so that two texts share it
 on runs and order. Texts that share one of ``SKETCHES`` sketches are candidates, and a banded
 alignment verifies them: with c runs that can be aligned in order, two texts of n and m runs are
 similar as c / (n + m - c), and linked from ``SIMILARITY`` on. Two texts at the threshold share no sketch about
-once in 90,000 times.
+three times in a million.
 
 Equal texts are one node, whatever their number. Within a group that shares a sketch not all pairs
-are compared. Each round takes pivots and aligns the others with them. The distance 1 - similarity
-is a metric, so a member linked to a pivot cannot be similar to one that lies farther from the pivot
-than its own distance plus the threshold: it leaves the group when all others lie farther. Others stay for
-further pivots, four times as many each round, until the group is used up. So every pair that shares a sketch is aligned, or
-proven dissimilar, or already connected; nothing is capped. Links make classes by
+are compared. First all members are aligned with one of them, the pivot (the one that shares most with
+others), and the links found make components. Only where a
+group then holds several components, the members outside the pivot's are aligned with those of other components, except
+where two texts are proven dissimilar: by their distances from the pivot (1 - similarity is a metric), or by the runs that no
+other of these texts has. So every pair that shares a
+sketch is aligned, or proven dissimilar, or connected already; nothing is capped. Links make classes by
 connected components, and a class is named by its smallest id.
 
 Null texts and texts without words are alike to nothing: each row is its own class. Rows with equal texts (white space and
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plazaframe.llm.components import components
@@ -38,8 +39,8 @@ from plazaframe.operators.durable import materialise
 
 WORDS = 5
 SIMILARITY = 0.8
-TAKEN = 3
-SKETCHES = 16
+TAKEN = 5
+SKETCHES = 32
 #: Runs of a text for which all sketches are computed in one array.
 AT_ONCE = 20_000
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
@@ -106,7 +107,7 @@ def _signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, counts, found, known = [], [], [], {}
+            rows, known = [], {}
             for text in batch.column(1):
                 text = text.as_py() or ""
                 key = text_key(text)
@@ -115,10 +116,9 @@ def _signatures(docs: DataFrame) -> DataFrame:
                 elif (made := known.get(key)) is None:
                     runs = runs_of(text)
                     made = known[key] = (key, len(runs), sketches(runs).view(np.int64))
-                keys.append(made[0])
-                counts.append(made[1])
-                found.append(made[2])
-            yield pa.record_batch([batch.column(0), pa.array(keys, pa.binary()), pa.array(counts, pa.int64()), pa.array(found, pa.list_(pa.int64()))], ["id", "key", "n", "sketches"])
+                rows.append(made)
+            columns = [pa.array([row[i] for row in rows], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
+            yield pa.record_batch([batch.column(0), *columns], ["id", "key", "n", "sketches"])
 
     return docs.mapInArrow(run, "id long, key binary, n long, sketches array<long>")
 
@@ -149,46 +149,72 @@ def _aligned(pairs: DataFrame, texts: DataFrame, reach: float) -> DataFrame:
     return with_both.mapInArrow(run, "pivot binary, key binary, distance double")
 
 
-def _next_pivots(members: DataFrame, many: int) -> DataFrame:
-    """Up to about ``many`` members of each group: the least of each of ``many`` slices of its keys."""
-    slot = F.pmod(F.xxhash64("key"), F.lit(many)) if many > 1 else F.lit(0)
-    return members.groupBy("bucket", slot.alias("slot")).agg(F.min("key").alias("pivot")).select("bucket", "pivot")
+def _apart() -> Column:
+    """How far apart two texts are at least, by their lengths alone."""
+    return 1 - F.least("n", "other_n") / F.greatest("n", "other_n")
+
+
+def _exclusive(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """node (a hash of the key) and how many of its runs no other of these texts has; texts without such runs are left out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                runs = pa.array([runs_of(t.as_py()).view(np.int64) for t in part["text"]], pa.list_(pa.int64()))
+                yield pa.record_batch([part["key"], runs], ["key", "runs"])
+
+    found = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(run, "key binary, runs array<long>")
+    runs = found.select(F.xxhash64("key").alias("node"), F.explode("runs").alias("run"))
+    single = runs.groupBy("run").agg(F.count("*").alias("texts"), F.min("node").alias("node")).where("texts = 1")
+    return single.groupBy("node").agg(F.count("*").alias("own"))
 
 
 def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of keys whose texts are similar; enough of them to connect each class."""
     limit = 1 - similarity
     reach = min(1.0, 2 * limit)
-    nodes = signatures.where("key IS NOT NULL").groupBy("key").agg(F.first("n").alias("n"), F.first("sketches").alias("sketches"))
-    groups = nodes.select("key", "n", F.explode("sketches").alias("bucket"))
-    shared = groups.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-    members = materialise(groups.join(shared, "bucket", "left_semi").select("bucket", "key", "n"))
-    needed = members.select("key").distinct()
-    texts = materialise(_keyed_texts(docs).join(needed, "key", "left_semi"))
-    known, many = None, 1
-    while True:
-        pivots = _next_pivots(members, many).join(members.select("bucket", F.col("key").alias("pivot"), F.col("n").alias("pivot_n")), ["bucket", "pivot"])
-        meets = materialise(members.join(pivots, "bucket").where("key <> pivot").select("bucket", "key", "n", "pivot", "pivot_n"))
-        # lengths alone say that a pair is at least this far apart
-        apart = 1 - F.least("n", "pivot_n") / F.greatest("n", "pivot_n")
-        pairs = meets.where(apart <= limit).select(F.least("key", "pivot").alias("pivot"), F.greatest("key", "pivot").alias("key")).distinct()
-        if known is not None:
-            pairs = pairs.join(known, ["pivot", "key"], "left_anti")
-        fresh = materialise(_aligned(pairs, texts, reach))
-        known = fresh if known is None else known.union(fresh)
-        far = known.select(F.col("pivot").alias("low"), F.col("key").alias("high"), "distance")
-        ordered = meets.withColumn("low", F.least("key", "pivot")).withColumn("high", F.greatest("key", "pivot"))
-        judged = ordered.join(far, ["low", "high"], "left").select("bucket", "pivot", "key", "n", F.coalesce(F.least("distance", F.lit(reach)), apart).alias("distance"))
-        # a linked member can leave when every unlinked one is too far from its pivot
-        rest = judged.groupBy("bucket", "pivot").agg(F.min(F.when(F.col("distance") > limit, F.col("distance"))).alias("next"))
-        leaves = (F.col("distance") <= limit) & (F.col("next").isNull() | (F.col("distance") < F.col("next") - limit))
-        gone = judged.join(rest, ["bucket", "pivot"]).where(leaves).select("bucket", "key").union(pivots.select("bucket", F.col("pivot").alias("key"))).distinct()
-        stay = members.join(gone, ["bucket", "key"], "left_anti")
-        several = stay.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket")
-        members = materialise(stay.join(several, "bucket", "left_semi"))
-        if members.isEmpty():
-            return known.where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-        many *= 4
+    nodes = signatures.where("key IS NOT NULL").groupBy("key")
+    groups = nodes.agg(F.first("sketches").alias("sketches")).select("key", F.explode("sketches").alias("bucket"))
+    shared = groups.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    members = materialise(groups.join(shared, "bucket").select("bucket", "key", "size"))
+    # the text that shares most with others is the one most of a group's texts are likely to be similar to
+    central = members.groupBy("key").agg(F.sum("size").alias("central"))
+    facts = nodes.agg(F.first("n").alias("n")).join(central, "key")
+    members = materialise(members.join(facts, "key").select("bucket", "key", "n", "central"))
+    texts = materialise(_keyed_texts(docs).join(members.select("key").distinct(), "key", "left_semi"))
+
+    pivots = members.groupBy("bucket").agg(F.max(F.struct("central", "key", "n")).alias("p"))
+    pivots = pivots.select("bucket", F.col("p.key").alias("pivot"), F.col("p.n").alias("other_n"))
+    meets = materialise(members.join(pivots, "bucket").select("bucket", "pivot", "key", "n", _apart().alias("apart")))
+    first = meets.where((F.col("key") != F.col("pivot")) & (F.col("apart") <= limit)).select("pivot", "key").distinct()
+    aligned = materialise(_aligned(first, texts, reach))
+    linked = aligned.where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    roots = materialise(components(linked))
+
+    # what each member is to its pivot, and in which component; a distance that is not known exactly is at least ``low``
+    judged = meets.join(aligned, ["pivot", "key"], "left").join(roots, meets["key"] == roots["node"], "left")
+    known = F.when(F.col("key") == F.col("pivot"), F.lit(0.0)).when(F.col("distance") < reach, F.col("distance"))
+    low = F.coalesce(known, F.greatest("apart", F.least("distance", F.lit(reach))))
+    judged = judged.select("bucket", "pivot", "key", "n", F.coalesce("root", "key").alias("root"), known.alias("known"), low.alias("low"))
+    several = judged.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("bucket")
+    open_groups = materialise(judged.join(several, "bucket", "left_semi"))
+    # runs that only one of these texts has cannot be shared, which bounds the similarity of any pair
+    own = materialise(_exclusive(texts, open_groups.select("key").distinct()))
+    open_groups = open_groups.withColumn("node", F.xxhash64("key")).join(own, "node", "left")
+    open_groups = materialise(open_groups.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("node", "own"))
+    mains = open_groups.where("key = pivot").select("bucket", F.col("root").alias("main"))
+    outside = open_groups.join(mains, "bucket").where("root <> main").drop("main", "pivot")
+    other = open_groups.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "common", "root", "known", "low")))
+    apart_by_pivot = F.greatest(F.col("low") - F.col("other_known"), F.col("other_low") - F.col("known"))
+    most = F.least("common", "other_common")
+    apart_by_runs = 1 - most / (F.col("n") + F.col("other_n") - most)
+    near_enough = (_apart() <= limit) & (apart_by_runs <= limit + 1e-9) & ~F.coalesce(apart_by_pivot > limit + 1e-9, F.lit(False))
+    pairs = outside.join(other, "bucket").where((F.col("root") != F.col("other_root")) & near_enough)
+    pairs = pairs.select(F.least("key", "other_key").alias("pivot"), F.greatest("key", "other_key").alias("key")).distinct()
+    pairs = pairs.join(aligned.select("pivot", "key"), ["pivot", "key"], "left_anti")
+    more = _aligned(pairs, texts, limit).where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+    return linked.union(more)
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
