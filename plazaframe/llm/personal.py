@@ -1,11 +1,11 @@
 """Information-theoretic sanitisation of personal data, in DataFrame expressions only.
 
 Patterns find the protected entities: e-mail addresses, IPv4 addresses, payment cards, phone
-numbers. Then the corpus tells which other terms give an entity away. The contexts are the distinct
-lines (copies of a line count once). With N lines, n(e) of them with entity e, n(t) with term t and
+numbers. Then the corpus tells which other terms give an entity away. The contexts are the
+lines. With N lines, n(e) of them with entity e, n(t) with term t and
 n(e, t) with both, PMI(e; t) = log(N n(e, t) / (n(e) n(t))) is how much of e's information
-IC(e) = log(N / n(e)) the term reveals. Where PMI >= threshold * IC and at least ``support`` lines
-hold both, the term is generalised wherever it stands in a line with that entity.
+IC(e) = log(N / n(e)) the term reveals. Where PMI >= threshold * IC and at least ``support`` different lines
+hold both (copies of a line prove nothing), the term is generalised wherever it stands in a line with that entity.
 
 Matches never cross a line break. To find them without recursion in the pattern engine, separators
 inside a number or a domain are first replaced by a mark of the same length. Offsets count code points, ends are exclusive.
@@ -117,12 +117,15 @@ def disclosing_terms(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     near = materialise(near.select("doc_id", "text_hash", "line_hash", F.array_distinct(F.transform("entities", lambda e: F.xxhash64(e["value"]))).alias("values"), outside.alias("outside")))
 
     pairs = near.select("line_hash", F.explode("values").alias("entity"), F.array_distinct(F.transform("outside", lambda t: t["term"])).alias("terms"))
-    pairs = pairs.select("line_hash", "entity", F.explode("terms").alias("term")).distinct()
-    both = materialise(pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= support))
-    entities = near.select("line_hash", F.explode("values").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    everywhere = lines.select(F.xxhash64("line").alias("line_hash"), F.explode(F.array_distinct(F.transform(_terms(F.col("line"), F.lit(0)), lambda t: t["term"]))).alias("term"))
-    held = everywhere.join(both.select("term").distinct(), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    n = lines.select(F.xxhash64("line")).distinct().count()
+    pairs = pairs.select("line_hash", "entity", F.explode("terms").alias("term"))
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("n_both"), F.count_distinct("line_hash").alias("lines"))
+    both = materialise(both.where(F.col("lines") >= support).select("entity", "term", "n_both"))
+    entities = near.select(F.explode("values").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
+    # of the other terms nothing leaves a task, and of these only their counts
+    sought = materialise(both.select("term").distinct())
+    everywhere = lines.select(F.explode(F.array_distinct(F.transform(_terms(F.col("line"), F.lit(0)), lambda t: t["term"]))).alias("term"))
+    held = everywhere.join(sought, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
+    n = lines.count()
     ratio = 1 - F.log(F.col("n_term") / F.col("n_both")) / F.log(F.lit(float(n)) / F.col("n_entity"))
     disclosing = both.join(entities, "entity").join(held, "term").where((F.col("n_entity") < n) & (ratio >= threshold)).select("entity", "term")
     placed = near.select("doc_id", "text_hash", F.explode("values").alias("entity"), "outside").select("doc_id", "text_hash", "entity", F.explode("outside").alias("t"))
