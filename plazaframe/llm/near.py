@@ -202,15 +202,18 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     # runs that only one of these texts has cannot be shared, which bounds the similarity of any pair
     own = materialise(_exclusive(texts, open_groups.select("key").distinct()))
     open_groups = open_groups.withColumn("node", F.xxhash64("key")).join(own, "node", "left")
-    open_groups = materialise(open_groups.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("node", "own"))
+    open_groups = open_groups.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("node", "own")
+    buckets = open_groups.groupBy("key").agg(F.collect_list("bucket").alias("buckets"))  # at most as many as there are sketches
+    open_groups = materialise(open_groups.join(buckets, "key"))
     mains = open_groups.where("key = pivot").select("bucket", F.col("root").alias("main"))
     outside = open_groups.join(mains, "bucket").where("root <> main").drop("main", "pivot")
-    other = open_groups.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "common", "root", "known", "low")))
+    other = open_groups.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "common", "root", "known", "low", "buckets")))
     apart_by_pivot = F.greatest(F.col("low") - F.col("other_known"), F.col("other_low") - F.col("known"))
     most = F.least("common", "other_common")
     apart_by_runs = 1 - most / (F.col("n") + F.col("other_n") - most)
     near_enough = (_apart() <= limit) & (apart_by_runs <= limit + 1e-9) & ~F.coalesce(apart_by_pivot > limit + 1e-9, F.lit(False))
-    pairs = outside.join(other, "bucket").where((F.col("root") != F.col("other_root")) & near_enough)
+    once = F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")  # of the groups that both are in
+    pairs = outside.join(other, "bucket").where((F.col("root") != F.col("other_root")) & near_enough & once)
     pairs = pairs.select(F.least("key", "other_key").alias("pivot"), F.greatest("key", "other_key").alias("key")).distinct()
     pairs = pairs.join(aligned.select("pivot", "key"), ["pivot", "key"], "left_anti")
     more = _aligned(pairs, texts, limit).where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
