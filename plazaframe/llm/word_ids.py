@@ -12,10 +12,12 @@ from functools import lru_cache
 
 import numpy as np
 
-#: Words that a worker remembers before it starts anew; bounds its memory, not the result.
-REMEMBERED = 1_000_000
+#: Words, and parts of words, that a worker remembers before it starts anew; they bound its memory, not the result.
+REMEMBERED, REMEMBERED_PARTS = 250_000, 700_000
 #: Texts are cut at a space after about this many characters, so that a giant one is not a giant list of words.
 STRETCH = 1_000_000
+#: Marks that may stand behind a run of letters; an apostrophe may belong to it and so is not among them.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class WordEncoder:
@@ -28,15 +30,22 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
         self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
         new = words.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
             self.known.clear()
             new = words
-        listed = list(new)
-        for word, found in zip(listed, self.tokenizer.encode_batch_fast(listed, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, "<u4").tobytes()
+        divided = {word: _divided(word) for word in new}
+        parts = {part for both in divided.values() for part in both}
+        if len(self.parts) + len(parts) > REMEMBERED_PARTS:
+            self.parts.clear()
+        missing = list(parts.difference(self.parts))
+        for part, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            self.parts[part] = np.array(found.ids, "<u4").tobytes()
+        for word, (letters, marks) in divided.items():
+            self.known[word] = self.parts[letters] + self.parts[marks]
 
     def encode(self, text: str | None) -> bytes:
         """All ids of one text; a null text is an empty one."""
@@ -69,6 +78,14 @@ class WordEncoder:
             yield from map(self.encode, group)
 
 
+def _divided(word: str) -> tuple[str, str]:
+    """The letters of a word and the marks behind them; any other word is undivided."""
+    letters = word.rstrip(MARKS)
+    if not (letters.isalpha() and letters.lower().isalpha()):  # a letter can become one with a mark of its own
+        return word, ""
+    return letters.lower() if letters.isascii() else letters, word[len(letters) :]
+
+
 def _stretches(text: str) -> Iterator[str]:
     start = 0
     while len(text) - start > STRETCH:
