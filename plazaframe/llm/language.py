@@ -23,6 +23,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plazaframe.llm.worker import forget_words, give_back
+
 EXCERPTS = 120
 EXCERPT = 500
 #: Characters compressed at a time.
@@ -87,11 +89,13 @@ def identify(docs: DataFrame, learned: Sequence[tuple[str, bytes]], *, id_col: s
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("carried"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_words()
         classifier = Classifier(shared.value)
         for batch in batches:
             answers = [classifier.classify(text.as_py()) for text in batch["text"]]
             made = [pa.array([a[i] for a in answers], t) for i, t in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.record_batch([batch["id"], batch["text"], *made, batch["carried"]], ["id", "text", "lang_pred", "score", "rejected", "carried"])
+        give_back()
 
     schema = slim.select("id", "text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean").add("carried", slim.schema["carried"].dataType)
     return slim.mapInArrow(run, schema)

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plazaframe.llm.worker import give_back
 from plazaframe.operators.durable import materialise
 
 #: Lines that the rolling hash sees, and one line in how many ends a chunk.
@@ -95,6 +96,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                     digests.append(digest)
                     texts.append(passage)
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(texts, pa.string())], ["id", "digest", "passage"])
+        give_back()
 
     last = F.coalesce("id", F.lit(2**63 - 1)).alias("id")  # ids that are null come last
     found = slim.select("id", "text").mapInArrow(passages, "id long, digest binary, passage string").select(last, "digest", "passage")
@@ -108,6 +110,7 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             texts = pa.array([None if old is None else new for old, (new, _, _) in zip(batch["text"].to_pylist(), rows, strict=True)], pa.string())
             counts = [pa.array([row[i] for row in rows], pa.int32()) for i in (1, 2)]
             yield pa.record_batch([batch["id"], texts, *counts, batch["carried"]], ["id", "text", "n_lines", "n_removed_lines", "carried"])
+        give_back()
 
     schema = slim.select("id", "text").schema.add("n_lines", "integer").add("n_removed_lines", "integer").add("carried", slim.schema["carried"].dataType)
     return slim.join(gone, F.coalesce("id", F.lit(2**63 - 1)) == F.col("of"), "left").select("id", "text", "gone", "carried").mapInArrow(remove, schema)
