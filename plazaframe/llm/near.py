@@ -195,7 +195,8 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     # what each member is to its pivot, and in which component; a distance that is not known exactly is at least ``low``
     judged = meets.join(aligned, ["pivot", "key"], "left").join(roots, meets["key"] == roots["node"], "left")
     known = F.when(F.col("key") == F.col("pivot"), F.lit(0.0)).when(F.col("distance") < reach, F.col("distance"))
-    low = F.coalesce(known, F.greatest("apart", F.least("distance", F.lit(reach))))
+    # least() skips nulls, but a pair that was not aligned has its lengths only
+    low = F.coalesce(known, F.when(F.col("distance").isNull(), F.col("apart")).otherwise(F.greatest("apart", F.least("distance", F.lit(reach)))))
     judged = judged.select("bucket", "pivot", "key", "n", F.coalesce("root", "key").alias("root"), known.alias("known"), low.alias("low"))
     several = judged.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("bucket")
     open_groups = materialise(judged.join(several, "bucket", "left_semi"))

@@ -127,6 +127,30 @@ def test_classes_equal_all_pairs(spark):
     assert {r.id: r.class_id for r in near.near_duplicates(df).collect()} == brute.near_classes(texts)
 
 
+def test_copies_much_longer_or_shorter_than_the_pivot(spark):
+    """Members too unlike the pivot in length to be aligned with it are linked with its near copies all the same."""
+    texts, n = {}, 0
+    for _ in range(5):
+        words = sentence(190).split()
+        for size in (104, 104, 104, 106, 125, 128, 130, 130, 145, 84, 82, 72):
+            texts[n], n = " ".join(words[:size]) + (" " + sentence(1) if size == 104 else ""), n + 1
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert {r.id: r.class_id for r in near.near_duplicates(df).collect()} == brute.near_classes(texts)
+
+
+def test_a_pair_not_aligned_with_the_pivot_is_not_ruled_out(spark):
+    """One shared sketch whose pivot has 100 runs, a copy of 102 and one of 126: the last two are similar as 102 / 126."""
+    words = sentence(400).split()
+    rows = [(0, " ".join(words[:104])), (1, " ".join(words[:106])), (2, " ".join(words[:130])), (3, " ".join(words[:104] + words[200:203]))]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    # text 3 shares a sketch of its own with the pivot, which makes text 0 the pivot of the group of all
+    shared = {0: [7, 8, 9], 1: [7], 2: [7], 3: [8, 9]}
+    made = [(i, bytearray(near.text_key(t)), len(near.runs_of(t)), shared[i]) for i, t in rows]
+    signatures = spark.createDataFrame(made, "id long, key binary, n long, sketches array<long>")
+    found = {frozenset((bytes(r.a), bytes(r.b))) for r in near.links(docs, signatures).collect()}
+    assert frozenset((near.text_key(rows[1][1]), near.text_key(rows[2][1]))) in found
+
+
 def test_order_matters():
     a, b = sentence(60), sentence(60)
     one, other = near.runs_of(f"{a} {b}"), near.runs_of(f"{b} {a}")
