@@ -151,6 +151,35 @@ def test_a_pair_not_aligned_with_the_pivot_is_not_ruled_out(spark):
     assert frozenset((near.text_key(rows[1][1]), near.text_key(rows[2][1]))) in found
 
 
+def test_short_texts_are_always_candidates():
+    """Every pair of short texts at the threshold or above it shares a bucket, 4 against 5 runs among them."""
+    for n in range(1, near.SHORT + 1):
+        runs = near.runs_of(sentence(n + 4))
+        for m in range(n, near.SHORT + 1):
+            for _ in range(5):
+                extra = DRAW.sample(range(1 << 60), m)
+                c = -(-4 * (n + m) // 9)  # the fewest in common at similarity 0.8
+                if c > n:
+                    continue
+                a, b = (np.concatenate((runs[:c], np.array(extra[: k - c], np.uint64) + np.uint64(at))) for k, at in ((n, 0), (m, 1 << 61)))
+                assert np.isin(near.remainders(a), near.remainders(b)).any(), (n, m, c)
+    assert len(near.remainders(near.runs_of(sentence(200)))) == 0
+
+
+def test_short_copies_with_a_word_more(spark):
+    texts = {}
+    for n in range(1, 16):
+        for _ in range(3):
+            base = sentence(n)
+            for text in (base, f"{base} {sentence(1)}", f"{sentence(1)} {base}"):
+                texts[len(texts)] = text
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    wanted = brute.near_classes(texts)
+    assert {r.id: r.class_id for r in near.near_duplicates(df).collect()} == wanted
+    eight = [i for i, t in texts.items() if len(t.split()) == 8 and len(texts[i + 1].split()) == 9]
+    assert eight and all(wanted[i] == wanted[i + 1] == wanted[i + 2] for i in eight)
+
+
 def test_order_matters():
     a, b = sentence(60), sentence(60)
     one, other = near.runs_of(f"{a} {b}"), near.runs_of(f"{b} {a}")
