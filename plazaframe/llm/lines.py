@@ -7,6 +7,10 @@ whose 128-bit hash stands in several documents are candidates; their bytes are c
 of the first document (the smallest id) that has the chunk, and where they are equal the chunk
 stays only there. A chunk repeated within one text stays at its first place. Chunks of one line stay.
 
+Chunks miss most passages of a few lines. With ``whole`` the passages are instead all pairs of neighbouring lines with content,
+with the blank lines between them. Every passage of two such lines or more is a row of pairs, so it is found wherever it stands and
+goes from its first to its last line; only lines that are repeated without a neighbour stay.
+
 Null texts count as empty, and nothing is taken from them. Rows with one id count as one place: what an earlier id has
 is removed from all of them, what they share with each other stays. Null ids come after all others. Equal
 chunks never depend on the order of rows. An empty table gives no rows. Other columns may be carried
@@ -50,16 +54,35 @@ def chunks(text: str) -> list[list[str]]:
     return [lines[a:b] for a, b in zip(cuts, cuts[1:], strict=False) if a < b]
 
 
-def _passages(text: str) -> Iterator[tuple[bytes, str]]:
-    """Hash and text of each different chunk of several lines."""
+def _pairs(lines: list[str]) -> Iterator[tuple[int, int, str]]:
+    """First and last line and text of each two neighbouring lines with content."""
+    filled = [i for i, line in enumerate(lines) if line.strip()]
+    for a, b in zip(filled, filled[1:], strict=False):
+        yield a, b, "\n".join(lines[a : b + 1])
+
+
+def _passages(text: str, whole: bool) -> Iterator[tuple[bytes, str]]:
+    """Hash and text of each different chunk of several lines, or pair of lines."""
     seen = set()
-    for lines in chunks(text):
-        if len(lines) > 1:
-            passage = "\n".join(lines)
-            digest = xxhash.xxh3_128_digest(passage.encode())
-            if digest not in seen:
-                seen.add(digest)
-                yield digest, passage
+    found = (p for _, _, p in _pairs(text.split("\n"))) if whole else ("\n".join(lines) for lines in chunks(text) if len(lines) > 1)
+    for passage in found:
+        digest = xxhash.xxh3_128_digest(passage.encode())
+        if digest not in seen:
+            seen.add(digest)
+            yield digest, passage
+
+
+def _without_pairs(text: str, gone: set[bytes]) -> tuple[str, int, int]:
+    """The text without the pairs of lines in ``gone`` and those it repeats itself; its lines, and how many went."""
+    lines = text.split("\n")
+    drop: set[int] = set()
+    first: dict[bytes, int] = {}
+    for a, b, passage in _pairs(lines):
+        digest = xxhash.xxh3_128_digest(passage.encode())
+        # a pair that overlaps its first place, as in a run of equal lines, is a repeat only behind it
+        if digest in gone or first.setdefault(digest, b) < a:
+            drop.update(range(a, b + 1))
+    return "\n".join(line for i, line in enumerate(lines) if i not in drop), len(lines), len(drop)
 
 
 def _without(text: str, gone: set[bytes]) -> tuple[str, int, int]:
@@ -83,15 +106,15 @@ def same_bytes(several: DataFrame) -> DataFrame:
     return several.where("id <> first").join(firsts, "digest").where(F.col("passage") == F.col("first_passage")).select("id", "digest")
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """id, text without repeated passages, n_lines, n_removed_lines, and the ``carried`` columns in a struct."""
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), whole: bool = False) -> DataFrame:
+    """id, text without repeated passages (``whole``: all of two lines or more, not chunks only), n_lines, n_removed_lines, and the ``carried`` columns in a struct."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.struct(F.lit(0).alias("none"), *carry).alias("carried"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, digests, texts = [], [], []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                for digest, passage in _passages(text.as_py() or ""):
+                for digest, passage in _passages(text.as_py() or "", whole):
                     ids.append(key)
                     digests.append(digest)
                     texts.append(passage)
@@ -104,9 +127,11 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     several = materialise(found.join(repeated, "digest").select("digest", "id", "first", "passage"))
     gone = same_bytes(several).groupBy(F.col("id").alias("of")).agg(F.collect_set("digest").alias("gone"))
 
+    without = _without_pairs if whole else _without
+
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [_without(text.as_py() or "", set(gone.as_py() or ())) for text, gone in zip(batch["text"], batch["gone"], strict=True)]
+            rows = [without(text.as_py() or "", set(gone.as_py() or ())) for text, gone in zip(batch["text"], batch["gone"], strict=True)]
             texts = pa.array([None if old is None else new for old, (new, _, _) in zip(batch["text"].to_pylist(), rows, strict=True)], pa.string())
             counts = [pa.array([row[i] for row in rows], pa.int32()) for i in (1, 2)]
             yield pa.record_batch([batch["id"], texts, *counts, batch["carried"]], ["id", "text", "n_lines", "n_removed_lines", "carried"])

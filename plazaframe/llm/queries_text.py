@@ -8,7 +8,7 @@ from plazaframe.llm.queries import documents, query
 
 @query("op1_line_dedup")
 def op1(spark, folder):
-    return lines.dedup_lines(documents(spark, folder)).select(F.col("id").alias("doc_id"), "text", "n_lines", "n_removed_lines")
+    return lines.dedup_lines(documents(spark, folder), whole=True).select(F.col("id").alias("doc_id"), "text", "n_lines", "n_removed_lines")
 
 
 @query("op6_language_id")

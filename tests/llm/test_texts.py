@@ -41,6 +41,20 @@ def test_repeated_passages_stay_once(spark):
     assert got[3].n_removed_lines > 0 and got[0].n_removed_lines == 0 and got[3].carried.lang == "x"
 
 
+def test_short_passages_are_found_whole(spark):
+    """Passages of 2 to 10 lines in otherwise different texts go from all but the first, and nothing else goes."""
+    texts, wanted = {}, {}
+    for n in range(2, 11):
+        passage = [sentence() for _ in range(n)]
+        for copy in range(4):
+            own = [sentence() for _ in range(5)]
+            i = len(texts)
+            texts[i] = "\n".join(own[:copy] + passage + own[copy:])
+            wanted[i] = texts[i] if copy == 0 else "\n".join(own)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    assert {r.id: r.text for r in lines.dedup_lines(df, whole=True).collect()} == wanted
+
+
 def test_equal_hashes_of_different_bytes_stay(spark, monkeypatch):
     """With a hash that is the same for every passage, only equal bytes go."""
     texts = {0: "a\nb", 1: "c\nd", 2: "a\nb"}
