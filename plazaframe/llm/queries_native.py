@@ -1,6 +1,6 @@
 """Queries of the operators that are DataFrame expressions only."""
 
-from plazaframe.llm import personal, quality_rules
+from plazaframe.llm import mixing, personal, quality_rules
 from plazaframe.llm.queries import documents, query
 
 
@@ -12,3 +12,8 @@ def op5(spark, folder):
 @query("op9_personal_data")
 def op9(spark, folder):
     return personal.digest(personal.find_personal(documents(spark, folder)))
+
+
+@query("op12_mixing")
+def op12(spark, folder):
+    return mixing.mix(documents(spark, folder)).withColumnRenamed("id", "doc_id").select("doc_id", "size", "source", "source_size", "target", "taken")
