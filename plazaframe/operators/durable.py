@@ -46,6 +46,18 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the one table that ``materialise`` returned; frames that still read it become unusable."""
+    spark = df.sparkSession
+    folders = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    jvm = spark.sparkContext._jvm
+    for folder in folders:
+        if f"/plazaframe-{spark.sparkContext.applicationId}/" not in folder:
+            raise ValueError(f"{folder} is not a table of this application")
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settled(df: DataFrame) -> DataFrame:
     """``df`` itself if every evaluation gives the same rows, else what one evaluation gave.
 
