@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
 from plazaframe.operators.durable import materialise, settled
-from plazaframe.operators.skew import attach, slice_count
+from plazaframe.operators.skew import HOT_ROWS, attach, slice_count
+
+# Values drawn per slice to find its bounds.
+SAMPLED = 200
+# Bounds that are compared one by one in generated code; more are searched for in a list.
+TREE = 256
 
 
 def ordered(df: DataFrame, order: Sequence[Column | str], ties: Sequence[str] = ()) -> DataFrame:
@@ -62,34 +67,66 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], date: str, ties: Sequence
     return one_per_key(df, keys, [F.col(date).desc(), *[F.col(t).asc() for t in ties], *[c.asc() for c in rest]])
 
 
+def _bounds(df: DataFrame, value: str, slices: int, number: int) -> list:
+    """Values that cut ``df`` into about ``slices`` parts of like size, in order, taken from a sample; a frequent value is among them."""
+    share = min(1.0, SAMPLED * slices / max(number, 1))
+    sample = df.select(value).where(F.col(value).isNotNull()).sample(False, share, 11) if share < 1 else df.select(value).dropna()
+    listed = sample.agg(F.sort_array(F.collect_list(value)).alias("v")).first()["v"]
+    step = max(1, len(listed) // slices)
+    return list(dict.fromkeys(listed[step - 1 :: step]))
+
+
+def _tree(value: Column, bounds: Sequence, first: int = 0) -> Column:
+    """How many bounds lie below a value, as nested comparisons."""
+    if not bounds:
+        return F.lit(first)
+    middle = len(bounds) // 2
+    below = F.lit(bounds[middle]) < value
+    return F.when(below, _tree(value, bounds[middle + 1 :], first + middle + 1)).otherwise(_tree(value, bounds[:middle], first))
+
+
+def _search(value: Column, bounds: Sequence) -> Column:
+    """How many bounds lie below a value, by halving a list."""
+    known, n = F.lit(list(bounds)), len(bounds)
+
+    def step(low: Column, width: Column) -> Column:
+        return F.when((low + width <= n) & (F.get(known, low + width - 1) < value), low + width).otherwise(low)
+
+    return F.aggregate(F.array(*(F.lit(1 << i) for i in range(n.bit_length())[::-1])), F.lit(0), step)
+
+
 def percent_rank_over_all(df: DataFrame, value: str, out: str, *, slices: int | None = None) -> DataFrame:
-    """``percent_rank`` over the whole table, largest ``value`` first, without a one-task window.
+    """``percent_rank`` over the whole table, largest ``value`` first.
 
-    Rows are cut into slices that follow each other in order and ranked within their slice; a table
-    of a few rows per slice says how many rows come before it. Rows with equal values may lie in
-    several slices: the rank of a slice's first value is the one it has where it occurs first.
+    Up to ``HOT_ROWS`` rows are ranked by a plain window, which is a single small task. Beyond that, or where ``slices`` is given, a sample
+    gives bounds, and one pass counts the rows between neighbouring bounds and those equal to a bound. These few numbers
+    say how many rows come before each slice. A value that is a bound, as every frequent value is, has its rank from them, and
+    its rows go to as many tasks as there are slices; the rows between two bounds are ranked in a window of their own. Nulls are equal
+    and come last.
     """
-    rest = [comparable(df, c) for c in df.columns if c != value]
-    tie = [F.xxhash64(*rest)] if rest else []
+    df = settled(df)
+    number = df.count()
     falling = F.col(value).desc()
-    apart = F.monotonically_increasing_id()  # parts identical rows, whose order does not matter
-    ranged = df.repartitionByRange(slices or slice_count(df, df.count()), F.col(value).desc(), *tie, apart)
-    cut = materialise(ranged.withColumn("_slice", F.spark_partition_id()))
-    placed = F.struct(F.col(value).isNotNull().alias("known"), F.col(value).alias("v"))
-    ends = cut.groupBy("_slice").agg(rows().alias("_n"), F.max(placed).alias("_top"), F.min(placed).alias("_low"))
-    ends = materialise(ends)
-    lowest = attach(cut.select("_slice", placed.alias("_own")), ends.select("_slice", "_low"), ["_slice"]).where("_own = _low")
-    ends = ends.join(lowest.groupBy("_slice").agg(rows().alias("_lows")), "_slice")
-    earlier = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = materialise(ends.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0))))
-    first = carry.select(F.col("_top").alias("_v"), F.col("_before").alias("_rank"))
-    last = carry.select("_low", F.col("_before") + F.col("_n") - F.col("_lows"))
-    begins = first.union(last).groupBy("_v").agg(F.min("_rank").alias("_begin"))
-    carry = carry.join(begins, F.col("_top") == F.col("_v")).select("_slice", "_top", "_before", "_begin")
-    others = max((ends.agg(F.sum("_n")).first()[0] or 0) - 1, 1)
-    local = cut.withColumn("_place", F.rank().over(Window.partitionBy("_slice").orderBy(F.col(value).desc())) - 1)
-    place = F.when(placed == F.col("_top"), F.col("_begin")).otherwise(F.col("_before") + F.col("_place"))
-    return attach(local, carry, ["_slice"]).select(*df.columns, (place / F.lit(others)).alias(out))
+    if slices is None and number <= HOT_ROWS:
+        return df.withColumn(out, F.percent_rank().over(Window.orderBy(falling)))
+    width = slices or slice_count(df, number)
+    bounds = _bounds(df, value, width, number)
+    if not bounds:  # no value is known: all rows are equal
+        return df.withColumn(out, F.lit(0.0))
+    found = _tree(F.col(value), bounds) if len(bounds) <= TREE else _search(F.col(value), bounds)
+    placed = df.withColumn("_slice", F.when(F.col(value).isNull(), -1).otherwise(found))
+    placed = placed.withColumn("_equal", F.col(value).isNull() | F.get(F.lit(bounds), F.col("_slice")).eqNullSafe(F.col(value)))
+    counts = {(r["_slice"], r["_equal"]): r["n"] for r in placed.groupBy("_slice", "_equal").agg(rows().alias("n")).collect()}
+    before, so_far = {}, 0
+    for part in [(i, e) for i in range(len(bounds), -1, -1) for e in (True, False)] + [(-1, True)]:
+        before[part] = so_far  # a bound is larger than what lies between it and the bound below
+        so_far += counts.get(part, 0)
+    listed = [F.lit([before[i, e] for i in range(-1 if e else 0, len(bounds) + 1)]) for e in (True, False)]
+    start = F.when(F.col("_equal"), F.get(listed[0], F.col("_slice") + 1)).otherwise(F.get(listed[1], F.col("_slice")))
+    spread = F.when(F.col("_equal"), F.monotonically_increasing_id() % width).otherwise(F.lit(-1))
+    local = placed.withColumn("_part", spread)
+    within = F.rank().over(Window.partitionBy("_slice", "_part").orderBy(falling)) - 1  # 0 for rows that equal a bound
+    return local.select(*df.columns, ((start + within) / F.lit(max(number - 1, 1))).alias(out))
 
 
 def percent_rank_head(

@@ -66,8 +66,9 @@ def test_split_plan_gathers_no_key(visits, capsys):
     assert "_slice" in plan
 
 
-@pytest.mark.parametrize("slices", [1, 5, 40])
-def test_percent_rank_equals_the_one_task_window(spark, slices):
+@pytest.mark.parametrize("slices, tree", [(1, 256), (5, 256), (40, 256), (40, 3)])
+def test_percent_rank_equals_the_one_task_window(spark, monkeypatch, slices, tree):
+    monkeypatch.setattr(ranking, "TREE", tree)
     rng = random.Random(3)
     data = [(i, rng.choice([None, 1.0, 2.0, float(rng.randint(3, 900))])) for i in range(3000)]
     df = spark.createDataFrame(data, "id int, v double")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plazaframe.functions import dates, text
-from plazaframe.operators import cleaning, flattening, reducing, scaling
+from plazaframe.operators import cleaning, flattening, quantiles, reducing, scaling
 from plazaframe.operators.quantiles import exact_quantiles
 from plazaframe.plans import preparation
 from plazaframe.plans.preparation import Settings
@@ -116,6 +116,46 @@ def test_quantiles_of_three_million_values_are_exact(spark):
         assert got[c] == [float(x) for x in wanted]
 
 
+def test_quantiles_of_awkward_doubles(spark):
+    draw = random.Random(6)
+    inf = float("inf")
+    near = [math.nextafter(1e9, inf)]
+    while len(near) < 3000:
+        near.append(math.nextafter(near[-1], inf))
+    columns = [
+        [draw.choice([inf, -inf, 0.0, -0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, 1.0, -1.0]) for _ in range(3000)],
+        [draw.uniform(-1, 1) * 10.0 ** draw.randint(-300, 300) for _ in range(3000)],
+        draw.sample(near, 3000),  # neighbours
+        [float(draw.randint(-3, 3)) for _ in range(3000)],
+        [7.5] * 3000,
+        [1e300] * 2999 + [-1e-300],
+    ]
+    names = [f"c {i}" for i in range(len(columns))]
+    df = spark.createDataFrame(list(zip(*columns)), ", ".join(f"`{n}` double" for n in names)).repartition(5)
+    parts = [0.0, 0.01, 0.25, 0.5, 0.999, 1.0]
+    got = exact_quantiles(df, names, parts)
+    for name, values in zip(names, columns):
+        ordered = sorted(values)
+        assert got[name] == [ordered[max(math.ceil(round(p * 3000, 6)), 1) - 1] for p in parts]
+
+
+def test_quantiles_send_counts_only(spark, monkeypatch):
+    df = spark.range(200_000).select(F.sqrt("id").alias("v"))
+    sent = []
+    inner = quantiles._counts
+
+    def watched(*args, **options):
+        found = inner(*args, **options)
+        sent.append(sum(map(len, found.values())))
+        return found
+
+    monkeypatch.setattr(quantiles, "_counts", watched)
+    assert exact_quantiles(df, ["v"], [0.5]) == {"v": [99_999**0.5]}
+    assert len(sent) <= 2 and sum(sent) <= 2 * quantiles.BUCKETS
+    monkeypatch.setattr(quantiles, "_guesses", lambda *_: [[(-5.0, -4.0)]])  # a sample that misleads
+    assert exact_quantiles(df, ["v"], [0.5]) == {"v": [99_999**0.5]}
+
+
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None, float("nan"))], "a double, b double")
     assert exact_quantiles(df, ["a", "b"], [0.5]) == {"a": [None], "b": [None]}
