@@ -66,6 +66,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df if df._jdf.queryExecution().analyzed().deterministic() else materialise(df)
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether reading ``df`` again costs one scan: columns and rows chosen from a single stored table, nothing else."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() in ("Project", "Filter"):
+        plan = plan.children().head()
+    return plan.children().isEmpty()
+
+
 def drop_materialised(spark: SparkSession) -> None:
     """Delete what this application materialised; frames built on it become unusable."""
     jvm = spark.sparkContext._jvm

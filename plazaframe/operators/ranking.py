@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.columns import comparable
 from plazaframe.functions.measures import rows
-from plazaframe.operators.durable import materialise, settled
-from plazaframe.operators.skew import HOT_ROWS, attach, slice_count
+from plazaframe.operators.durable import is_scan, materialise, settled
+from plazaframe.operators.skew import HOT_ROWS, attach, hot_keys, slice_count, split_rows
 
 # Values drawn per slice to find its bounds.
 SAMPLED = 200
@@ -35,24 +35,33 @@ def first_rows(
     return df.orderBy(*order, *ties, *named).limit(n).select(*columns)
 
 
-def top_ranked(df: DataFrame, by: Sequence[str], value: str, k: int, out: str) -> DataFrame:
+def top_ranked(df: DataFrame, by: Sequence[str], value: str, k: int, out: str, *, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows whose rank by ``value`` (largest first) within ``by`` is at most ``k``, all ties kept.
 
-    The rank of a value is known from the k largest values of its group, so a narrow pass finds
-    those (each task keeps k per group, however many tie) and the rows then look their rank up.
-    No group, and no crowd of ties, has to fit into one task. The input is read twice: write a costly one first.
+    Ordinary groups are ranked by a window; each task keeps its own k per group, and their ties, before the shuffle. A group
+    above ``hot_rows`` rows could send a crowd of ties into one task. The rank of a value is known from the k largest
+    values of its group, so of such groups a narrow pass finds those, and the rows look their rank up. The group sizes take a
+    pass over ``by``; an input that costs more than a scan is written first, so that it is computed once.
     """
-    df = settled(df)
+    df = settled(df) if is_scan(df) else materialise(df)
     largest = Window.partitionBy(*by).orderBy(F.col(value).desc())
+
+    def ordinary(part: DataFrame) -> DataFrame:
+        return part.withColumn(out, F.rank().over(largest)).filter(F.col(out) <= k)
+
+    hot = hot_keys(df, by, hot_rows=hot_rows)
+    if hot is None:
+        return ordinary(df)
+    heavy, light = split_rows(df, by, hot[0])
     heads = (
-        df.select(*by, value)
+        heavy.select(*by, value)
         .withColumns({"_place": F.row_number().over(largest), out: F.rank().over(largest)})
         .filter(F.col("_place") <= k)
         # The first of equal values stands at its rank; the others are not needed.
         .filter(F.col("_place") == F.col(out))
         .select(*by, value, out)
     )
-    return attach(df, materialise(heads), [*by, value])
+    return ordinary(light).unionByName(attach(heavy, materialise(heads), [*by, value]))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

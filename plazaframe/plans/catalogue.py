@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from plazaframe.plans import business, engagement, review, user
 from plazaframe.schemas import COMPLIMENTS
 from plazaframe.sinks.files import write_csv
-from plazaframe.sources.tables import Source, held, open_tables
+from plazaframe.sources.quarantine import open_available
+from plazaframe.sources.tables import Source, held
 
 
 @dataclass(frozen=True)
@@ -83,14 +84,21 @@ def write_answers(topic: str, frames: Mapping[str, DataFrame], folder: str, *, s
 
 
 def run_questions(
-    spark: SparkSession, sources: Mapping[str, Source], folder: str, *, cache: bool | None = None, single_file: bool = False
+    spark: SparkSession,
+    sources: Mapping[str, Source],
+    folder: str,
+    *,
+    cache: bool | None = None,
+    single_file: bool = False,
+    bad_folder: str | None = None,
 ) -> list[str]:
     """Answer everything the available tables allow; returns the folders written.
 
     ``cache`` keeps the columns the questions read; by default those of tables that are not Parquet, since
-    Parquet is read column by column anyway.
+    Parquet is read column by column anyway. With ``bad_folder`` bad lines of declared tables are set aside there, and
+    the answers come from the others.
     """
-    frames = open_tables(spark, sources)
+    frames = open_available(spark, sources, bad_folder)
     dear = {name: df for name, df in frames.items() if (sources[name].format != "parquet" if cache is None else cache)}
     with held(dear, ASKED) as kept:
         ready = {**frames, **kept}

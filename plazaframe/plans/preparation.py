@@ -7,7 +7,7 @@ the audit come out of the same passes.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +20,7 @@ from plazaframe.operators.durable import materialise
 from plazaframe.operators.flattening import flatten
 from plazaframe.operators.reducing import principal_components, sample_rows
 from plazaframe.schemas import KEYS
+from plazaframe.sources.quarantine import open_available
 from plazaframe.sources.tables import Source, open_tables
 
 STAGES = ["clean", "flatten", "prune", "screen", "transform", "reduce"]
@@ -151,12 +152,7 @@ def prepare(df: DataFrame, table: str, settings: Settings | None = None, *, writ
     pruned = flat.drop(*given.prune)
     if write_cleaned:
         pruned = materialise(pruned)
-    columns = scaling.scalable(pruned, given.scale_exclude)
-    found = scaling.measure(
-        pruned,
-        screened=scaling.screenable(pruned, given.screen_keep) if given.screen else [],
-        **scaling.measured_for(given.scaling, columns),
-    )
+    found = _measured(pruned, given)
     screened = pruned.drop(*found.constant) if found.rows > 1 else pruned
     transformed = transform(screened, given, found)
     reduced = reduce_rows(transformed, given)
@@ -174,9 +170,10 @@ def prepare_all(
     settings: Mapping[str, Settings] | None = None,
     *,
     write_cleaned: bool = True,
+    bad_folder: str | None = None,
 ) -> dict[str, Prepared]:
-    """Open and prepare every available table."""
-    frames = open_tables(spark, sources)
+    """Open and prepare every available table; with ``bad_folder`` without the bad lines of declared tables, which go there."""
+    frames = open_available(spark, sources, bad_folder)
     return {t: prepare(df, t, settings_for(t, settings), write_cleaned=write_cleaned) for t, df in frames.items()}
 
 
@@ -204,6 +201,37 @@ def run_stage(
     return {t: materialise(df) for t, df in done.items()} if write else done
 
 
+def staged(
+    frames: Mapping[str, DataFrame], settings: Mapping[str, Settings] | None = None, *, write: Sequence[str] = ("clean",)
+) -> Iterator[tuple[str, dict[str, DataFrame]]]:
+    """Every stage in turn with all tables as they are after it, for callers who want to look at them in between.
+
+    The same as ``run_stage`` for one stage after the other, but the screen measures each table once for itself and
+    for the scaling. Tables are written down after the stages in ``write``.
+    """
+    given = {t: settings_for(t, settings) for t in frames}
+    now, found = dict(frames), {}
+    for stage in STAGES:
+        if stage == "screen":
+            for t, df in now.items():
+                found[t] = _measured(df, given[t])
+            now = {t: df.drop(*found[t].constant) if found[t].rows > 1 else df for t, df in now.items()}
+        elif stage == "transform":
+            now = {t: transform(df, given[t], found[t]) for t, df in now.items()}
+        else:
+            now = run_stage(stage, now, settings)
+        if stage in write:
+            now = {t: materialise(df) for t, df in now.items()}
+        yield stage, dict(now)
+
+
+def _measured(df: DataFrame, given: Settings) -> scaling.Measures:
+    """What the screen and the scaling have to know, in one pass."""
+    columns = scaling.scalable(df, given.scale_exclude)
+    screened = scaling.screenable(df, given.screen_keep) if given.screen else []
+    return scaling.measure(df, screened=screened, **scaling.measured_for(given.scaling, columns))
+
+
 def audit_table(spark: SparkSession, prepared: Mapping[str, Prepared]) -> DataFrame:
     """One row per table and stage: rows, columns, and which columns came and went."""
     return spark.createDataFrame([s.record() for p in prepared.values() for s in p.steps], AUDIT)

@@ -255,8 +255,7 @@ def _(t: Tables) -> DataFrame:
     """Order lines as reviews with many duplicate ids, standardised, through the stages one by one."""
     frames = {"review": line_reviews(t).withColumn("stars", F.col("stars").cast("double"))}
     settings = {"review": replace(preparation.default_settings()["review"], scaling="standard", prune=["funny", "cool"])}
-    for stage in preparation.STAGES:
-        frames = preparation.run_stage(stage, frames, settings, write=stage == "clean")
+    *_, (_, frames) = preparation.staged(frames, settings)
     done = frames["review"].withColumn("date_parsed", F.col("date_parsed").cast("string"))
     return done.withColumns({c: F.round(c, 6) for c in ("stars", "useful")})
 

@@ -12,6 +12,7 @@ from plazaframe.plans.registered.preparing import order_settings, raw_orders
 from plazaframe.plans.registered.registry import query
 from plazaframe.plans.sample_tables import Tables, money
 from plazaframe.sinks.copartitioned import join_in_place, open_copartitioned, write_copartitioned
+from plazaframe.sinks.replacing import open_replaced, replace_partitions, replace_table
 from plazaframe.sources.quarantine import bad_share, open_separated
 from plazaframe.sources.tables import Source
 
@@ -147,3 +148,41 @@ def _(t: Tables) -> DataFrame:
     kept = bad.groupBy(F.regexp_extract("file", "kind=([^/]+)/", 1).alias("kind")).agg(rows().alias("bad_kept"))
     share = bad_share(report).select(F.col("table").alias("kind"), "bad", F.round("bad_share", 9).alias("bad_share"))
     return sums.join(share, "kind").join(kept, "kind").select("kind", "good", "bad", "bad_kept", "value", "bad_share")
+
+
+@query(
+    "replaced_partitions",
+    """SELECT o_orderpriority, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) * CASE o_orderpriority WHEN '1-URGENT' THEN 2 ELSE 1 END AS spent,
+              o_orderpriority <> '1-URGENT' AS untouched FROM orders GROUP BY o_orderpriority""",
+)
+def _(t: Tables) -> DataFrame:
+    """Orders by priority, of which one partition is written anew; a rewrite that fails on the way changes nothing."""
+    path = f"{durable.new_folder(t.spark)}/orders"
+    stored = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    replace_partitions(stored, path, ["o_orderpriority"])
+    opened = lambda: t.spark.read.schema(stored.schema).parquet(path)
+    before = durable.materialise(opened().select(F.input_file_name().alias("file")).distinct())
+    failing = stored.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 2 == 0, F.raise_error(F.lit("stopped"))).otherwise(F.col("o_totalprice")))
+    try:
+        replace_partitions(failing, path, ["o_orderpriority"])
+    except Exception as stopped:
+        if "stopped" not in str(stopped):
+            raise
+    urgent = stored.where("o_orderpriority = '1-URGENT'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    replace_partitions(urgent, path, ["o_orderpriority"])
+    files = opened().select("o_orderpriority", "o_totalprice", F.input_file_name().alias("file")).join(before.withColumn("old", F.lit(True)), "file", "left")
+    return files.groupBy("o_orderpriority").agg(rows().alias("orders"), F.sum(money("o_totalprice")).alias("spent"), F.bool_and(F.coalesce("old", F.lit(False))).alias("untouched"))
+
+
+@query(
+    "replaced_table",
+    """SELECT o_orderstatus, count(*) AS orders, 2 * count(*) AS lines FROM orders GROUP BY o_orderstatus""",
+)
+def _(t: Tables) -> DataFrame:
+    """A table that is replaced by one computed from it, twice over, while a reader of the first version goes on."""
+    path = durable.new_folder(t.spark)
+    replace_table(t.orders.select("o_orderkey", "o_orderstatus"), path)
+    first = open_replaced(t.spark, path)
+    replace_table(first.union(first), path)
+    lines = open_replaced(t.spark, path).groupBy("o_orderstatus").agg(rows().alias("lines"))
+    return first.groupBy("o_orderstatus").agg(rows().alias("orders")).join(lines, "o_orderstatus")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.measures import rows
 from plazaframe.operators import durable, profiling
-from plazaframe.plans import catalogue
+from plazaframe.plans import catalogue, preparation
 from plazaframe.plans.registered.registry import query
 from plazaframe.plans.sample_tables import Tables, event_tips, line_reviews, supplier_places
 from plazaframe.schemas import COMPLIMENTS, SCHEMAS
@@ -87,6 +87,75 @@ def _(t: Tables) -> DataFrame:
     return profiling.stacked(named)
 
 
+_REVIEWS = "SELECT l_orderkey AS review_id, l_partkey AS user_id, l_suppkey AS business_id, l_quantity AS stars, l_extendedprice AS useful, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date FROM lineitem"
+
+
+@query(
+    "review_answers_written",
+    f"""WITH review AS ({_REVIEWS}), place AS (
+         SELECT s_suppkey AS business_id, s_name AS name, n_name AS city, r_name AS state FROM supplier
+         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+       latest AS (SELECT * FROM review QUALIFY row_number() OVER (
+         PARTITION BY business_id ORDER BY date DESC, review_id, user_id, stars) = 1)
+       (SELECT 'highly_voted_reviews' AS question, l_orderkey::VARCHAR AS first, l_suppkey::VARCHAR AS second, l_extendedprice AS number FROM lineitem
+         WHERE l_extendedprice + l_discount + l_tax > 10 AND l_quantity >= 4
+         ORDER BY l_extendedprice DESC, l_orderkey, l_suppkey, l_partkey, l_quantity, l_discount, l_tax, l_shipdate LIMIT 20)
+       UNION ALL SELECT 'reviews_by_month', substr(date, 1, 7), count(*)::VARCHAR,
+         round(CAST(sum(CAST(stars AS DECIMAL(18,2))) AS DOUBLE) / count(*), 9) FROM review GROUP BY substr(date, 1, 7)
+       UNION ALL (SELECT 'latest_review_per_place', business_id::VARCHAR, review_id::VARCHAR, stars FROM latest ORDER BY date, business_id LIMIT 30)
+       UNION ALL (SELECT 'most_reviewed_places', business_id::VARCHAR, any_value(name), round(CAST(sum(CAST(stars AS DECIMAL(18,2))) AS DOUBLE) / count(*), 9)
+         FROM review JOIN place USING (business_id) GROUP BY business_id HAVING count(*) >= 50 ORDER BY count(*) DESC, business_id LIMIT 20)
+       UNION ALL (SELECT 'five_star_food_reviews', name, city, useful FROM review JOIN place USING (business_id)
+         WHERE stars = 5 AND contains(state, 'A') ORDER BY useful DESC, review_id, name, city LIMIT 30)
+       UNION ALL (SELECT 'cumulative_reviews', business_id::VARCHAR, review_id::VARCHAR,
+         row_number() OVER (PARTITION BY business_id ORDER BY date, review_id, stars)::DOUBLE
+         FROM review ORDER BY business_id, date, review_id, stars LIMIT 30)""",
+)
+def _(t: Tables) -> DataFrame:
+    """The six answers about reviews as they stand in the CSV files, each reduced to two names and a number."""
+    categories = F.replace(F.col("state"), F.lit("A"), F.lit("Food"))
+    frames = {"business": supplier_places(t).withColumn("categories", categories), "review": line_reviews(t)}
+    folder = durable.new_folder(t.spark)
+    shown = {
+        "highly_voted_reviews": ("review_id", "business_id", "useful"),
+        "reviews_by_month": ("year_month", "review_count", "round(avg_stars, 9)"),
+        "latest_review_per_place": ("business_id", "review_id", "stars"),
+        "most_reviewed_places": ("business_id", "name", "round(avg_review_stars, 9)"),
+        "five_star_food_reviews": ("name", "city", "useful"),
+        "cumulative_reviews": ("business_id", "review_id", "cumulative_reviews"),
+    }
+    answers = catalogue.answers("review", frames)
+    told = []
+    for path in catalogue.write_answers("review", frames, folder):
+        question = path.rsplit("/", 1)[1]
+        first, second, number = shown[question]
+        back = t.spark.read.schema(answers[question].schema).csv(path, header=True)
+        told.append(back.selectExpr(f"'{question}' AS question", f"string({first}) AS first", f"string({second}) AS second", f"double({number}) AS number"))
+    return profiling.stacked(told)
+
+
+@query(
+    "prepare_all",
+    """SELECT 'customer' AS "table", c_custkey AS key, round((c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()), 8) AS scaled,
+              2::BIGINT AS columns FROM customer
+       UNION ALL SELECT 'supplier', s_suppkey, round((s_acctbal - avg(s_acctbal) OVER ()) / stddev_samp(s_acctbal) OVER (), 6), 2 FROM supplier""",
+)
+def _(t: Tables) -> DataFrame:
+    """Customers and suppliers from their files through all stages, each with its settings; a third table is not there."""
+    settings = {
+        "customer": preparation.Settings(keys=["c_custkey"], scale_exclude=["c_custkey"], drop=["c_name", "c_mktsegment", "c_nationkey"]),
+        "supplier": preparation.Settings(keys=["s_suppkey"], scale_exclude=["s_suppkey"], scaling="standard", drop=["s_name", "s_nationkey"]),
+    }
+    prepared = preparation.prepare_all(t.spark, parquet_sources(t.folder, ["customer", "supplier", "absent"], ".parquet"), settings)
+    digits = {"customer": 8, "supplier": 6}
+    shown = []
+    for name, done in prepared.items():
+        key, balance = (f"{name[0]}_{c}" for c in ("custkey" if name == "customer" else "suppkey", "acctbal"))
+        columns = F.lit(len(done.frame.columns)).cast("long").alias("columns")
+        shown.append(done.frame.select(F.lit(name).alias("table"), F.col(key).alias("key"), F.round(balance, digits[name]).alias("scaled"), columns))
+    return profiling.stacked(shown)
+
+
 def six_tables(t: Tables) -> dict[str, DataFrame]:
     """The six declared tables out of suppliers, lines, customers and events."""
     whole = {c: F.col(c).cast("int") for c in ("useful", "funny", "cool")}

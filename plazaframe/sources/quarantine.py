@@ -63,6 +63,15 @@ def open_separated(spark: SparkSession, sources: Mapping[str, Source], bad_folde
     return frames, report
 
 
+def open_available(spark: SparkSession, sources: Mapping[str, Source], bad_folder: str | None = None) -> dict[str, DataFrame]:
+    """Every table that is there; with ``bad_folder`` bad lines are set aside, and the report of all files is written to ``<bad_folder>/report``."""
+    if bad_folder is None:
+        return open_tables(spark, sources)
+    frames, report = open_separated(spark, sources, bad_folder)
+    report.write.mode("overwrite").parquet(f"{bad_folder}/report")
+    return frames
+
+
 def bad_share(report: DataFrame) -> DataFrame:
     """Per table its rows, bad lines, files, files with bad lines, and the share of bad lines; a status line for a load."""
     per_table = report.groupBy("table").agg(

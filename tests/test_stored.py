@@ -2,14 +2,17 @@
 
 import math
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from plazaframe.operators import comparison, sequence, stored_profiles
+from plazaframe.plans import preparation, resuming
+from plazaframe.sinks import replacing
 from plazaframe.sinks.copartitioned import join_in_place, open_copartitioned, write_copartitioned
 from plazaframe.sources.quarantine import bad_share, open_separated, separate
-from plazaframe.sources.tables import Source
+from plazaframe.sources.tables import Source, json_sources
 
 
 def plan_of(df):
@@ -141,3 +144,92 @@ def test_bad_lines_are_set_aside(spark, tmp_path):
     assert tuple(line) == ("t", 3, 3, 2, 2, 0.5)
     with pytest.raises(ValueError):
         separate(spark, Source(str(raw), "json"))
+
+
+def files_of(folder):
+    return {str(f): f.stat().st_mtime_ns for f in folder.rglob("*.parquet")}
+
+
+def test_a_failing_rewrite_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert replacing.replace_table(spark.range(5), path) == 5
+    old = replacing.open_replaced(spark, path)
+    failing = spark.range(1000).select(F.when(F.col("id") > 900, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        replacing.replace_table(failing, path)
+    assert replacing.open_replaced(spark, path).count() == 5
+    assert replacing.replace_table(old.union(old), path) == 10  # reads what it replaces
+    assert old.count() == 5 and replacing.open_replaced(spark, path).count() == 10
+    assert replacing.replace_table(spark.range(0), path) == 0
+    assert replacing.open_replaced(spark, path).count() == 0 and len(list((tmp_path / "t" / "versions").iterdir())) == 3
+    with pytest.raises(FileNotFoundError):
+        replacing.open_replaced(spark, str(tmp_path / "nothing"))
+
+
+def test_a_slower_writer_gives_way(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    replacing.replace_table(spark.range(1), path)
+    known = replacing._manifests(replacing.Folder(spark, path))
+    replacing.replace_table(spark.range(2), path)
+    with monkeypatch.context() as patch:
+        patch.setattr(replacing, "_manifests", lambda folder: known)  # as it was when the slower one began
+        with pytest.raises(RuntimeError):
+            replacing.replace_table(spark.range(3), path)
+    assert replacing.open_replaced(spark, path).count() == 2
+
+
+def test_untouched_partitions_keep_their_files(spark, tmp_path):
+    folder = tmp_path / "p"
+    df = spark.range(100).selectExpr("id", "id % 4 AS part")
+    replacing.replace_partitions(df, str(folder), ["part"])
+    before = files_of(folder)
+    with pytest.raises(Exception, match="no"):
+        broken = df.withColumn("id", F.when(F.col("id") == 97, F.raise_error(F.lit("no"))).otherwise(F.col("id")))
+        replacing.replace_partitions(broken, str(folder), ["part"])
+    assert files_of(folder) == before
+    replacing.replace_partitions(df.where("part = 2").withColumn("id", F.col("id") + 1000), str(folder), ["part"])
+    after = files_of(folder)
+    assert {f: t for f, t in before.items() if "part=2" not in f} == {f: t for f, t in after.items() if "part=2" not in f}
+    assert spark.read.parquet(str(folder)).where("id >= 1000").count() == 25 and spark.read.parquet(str(folder)).count() == 100
+
+
+def test_preparation_goes_on_behind_the_last_finished_stage(spark, tmp_path, monkeypatch):
+    raw, folder = str(tmp_path / "raw"), str(tmp_path / "kept")
+    data = [(i % 40, float(i % 7) if i % 5 else None, "2020-01-02", "same") for i in range(50)]
+    spark.createDataFrame(data, "review_id int, stars double, date string, dull string").write.parquet(raw)
+    sources = {"review": Source(raw)}
+    settings = {"review": preparation.Settings(keys=["review_id"], drop=["date"], scale_exclude=["review_id"])}
+    runs = []
+    clean, transform = preparation.clean, preparation.transform
+    monkeypatch.setattr(preparation, "clean", lambda *a: runs.append("clean") or clean(*a))
+
+    def killed(*_):
+        raise RuntimeError("killed")
+
+    monkeypatch.setattr(preparation, "transform", killed)
+    with pytest.raises(RuntimeError, match="killed"):
+        resuming.prepare_resumable(spark, sources, folder, settings)
+    assert runs == ["clean"]
+    monkeypatch.setattr(preparation, "transform", transform)
+    resumed = resuming.prepare_resumable(spark, sources, folder, settings)["review"]
+    assert runs == ["clean"]
+    whole = preparation.prepare_all(spark, sources, settings)["review"].frame
+    assert resumed.columns == whole.columns and rows(resumed) == rows(whole)
+    del runs[:]
+    resuming.prepare_resumable(spark, sources, folder, settings)  # nothing left to do
+    assert runs == []
+    resuming.prepare_resumable(spark, sources, folder, {"review": replace(settings["review"], fill_numbers="mean")})
+    assert runs == ["clean"]
+    spark.createDataFrame(data[:3], "review_id int, stars double, date string, dull string").write.mode("append").parquet(raw)
+    again = resuming.prepare_resumable(spark, sources, folder, settings)["review"]
+    assert runs == ["clean", "clean"] and again.count() == 40
+
+
+def test_bulk_paths_set_bad_lines_aside(spark, tmp_path):
+    raw = tmp_path / "tip.json"
+    raw.write_text('{"user_id": "u", "business_id": "b", "text": "t", "date": "2020-01-02", "compliment_count": 1}\nbroken\n')
+    sources = json_sources({"tip": str(raw)})
+    prepared = preparation.prepare_all(spark, sources, bad_folder=str(tmp_path / "bad"))
+    assert prepared["tip"].frame.count() == 1
+    assert [r["line"] for r in spark.read.json(str(tmp_path / "bad" / "tip")).collect()] == ["broken"]
+    assert [(r["table"], r["rows"], r["bad"]) for r in spark.read.parquet(str(tmp_path / "bad" / "report")).collect()] == [("tip", 1, 1)]
