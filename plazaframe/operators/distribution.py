@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from plazaframe.functions.columns import literal, missing, missing_sql, quoted
 from plazaframe.functions.measures import rows
 from plazaframe.operators.cleaning import accuracy
+from plazaframe.operators.durable import materialise
 from plazaframe.operators.quantiles import exact_quantiles
 
 # Most distinct values shown one by one, and the range of the number of bins.
@@ -50,31 +51,41 @@ def degenerate(df: DataFrame, column: str) -> bool:
     return known.first()["same"]
 
 
-def distribution(df: DataFrame, column: str) -> DataFrame:
+def _one_by_one(levels: DataFrame, column: str, top: int | None) -> DataFrame:
+    chosen = levels if top is None else levels.orderBy(F.desc("count"), column).limit(top)
+    return chosen.orderBy(column).select(
+        F.lit(None).cast("int").alias("bin"),
+        F.lit(None).cast("double").alias("low"),
+        F.lit(None).cast("double").alias("high"),
+        F.col(column).cast("string").alias("value"),
+        "count",
+    )
+
+
+def distribution(df: DataFrame, column: str, *, top: int | None = None) -> DataFrame:
     """How the values of a column are spread: bin, low, high, value, count.
 
     Up to 30 distinct values are counted one by one (``value``, in order); beyond that a number is
     put into min(40, max(10, sqrt(n))) bins of equal width, the last one closed above.  Null, NaN
-    and infinite values are left out; empty bins are not listed.  Texts are always counted one by one.
+    and infinite values are left out; empty bins are not listed.  Texts are always counted one by one, in a single pass; of a
+    column with very many ask for the ``top`` most frequent only (ties go to the smaller value).
     """
     known = df.filter(~missing(df, column)).select(column)
     numeric = isinstance(df.schema[column].dataType, T.NumericType)
     if isinstance(df.schema[column].dataType, T.FractionalType):
         known = known.filter(F.abs(F.col(column).cast("double")) < F.lit(float("inf")))
-    value = F.col(column).cast("double") if numeric else F.lit(None).cast("double")
+    levels = known.groupBy(column).agg(rows().alias("count"))
+    if not numeric:
+        return _one_by_one(levels, column, top)
+    value = F.col(column).cast("double")
     ends = known.agg(
         F.min(value).alias("low"), F.max(value).alias("high"), rows().alias("n"), F.approx_count_distinct(column).alias("levels")
     ).first()
-    # Only when the sketch sees few levels, so that counting them is cheap, are they counted exactly.
-    levels = known.groupBy(column).agg(rows().alias("count"))
-    if not numeric or (ends["levels"] <= SURELY_MANY and levels.limit(MOST_LEVELS + 1).count() <= MOST_LEVELS):
-        return levels.orderBy(column).select(
-            F.lit(None).cast("int").alias("bin"),
-            F.lit(None).cast("double").alias("low"),
-            F.lit(None).cast("double").alias("high"),
-            F.col(column).cast("string").alias("value"),
-            "count",
-        )
+    # Only when the sketch sees few levels, so that they are a small table, are they counted exactly and written.
+    if ends["levels"] <= SURELY_MANY:
+        levels = materialise(levels)
+        if levels.limit(MOST_LEVELS + 1).count() <= MOST_LEVELS:
+            return _one_by_one(levels, column, top)
     bins = min(MOST_BINS, max(FEWEST_BINS, int(ends["n"] ** 0.5)))
     low, width = ends["low"], (ends["high"] - ends["low"]) / bins
     number = F.least(F.floor((value - F.lit(low)) / F.lit(width)), F.lit(bins - 1)).cast("int")

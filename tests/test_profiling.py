@@ -265,3 +265,9 @@ def test_odd_column_names(spark):
     assert rows(distribution.quartiles(df, ["a`b"])) == [("a`b", 1.0, 1.0, 3.0)]
     assert scaling.constant_columns(df) == ["c.d", "it's"]
     assert cleaning.fill_values(df, ["a`b", "c.d"], "mean") == ({"a`b": 2.0, "c.d": 4.0}, 2)
+
+
+def test_the_most_frequent_texts_only(spark):
+    df = spark.createDataFrame([(x,) for x in "aabbbccdd"] + [(None,)], "t string")
+    assert [(r["value"], r["count"]) for r in distribution.distribution(df, "t", top=2).collect()] == [("a", 2), ("b", 3)]
+    assert [r["value"] for r in distribution.distribution(df, "t").collect()] == ["a", "b", "c", "d"]
