@@ -9,7 +9,7 @@ manifest, one row per file, give the base of each file among all ids.
 
 The files go below ``spark.checkpoint.dir``, which must be a folder that all machines mount: only
 files can be mapped. Null texts are empty. Documents with a null id come first; rows with the same
-id are ordered by their texts' hashes and count one by one. An empty table gives no files and no rows.
+id are ordered by their texts' hashes and count one by one. An empty table gives no files and no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -89,5 +89,7 @@ def read_token_files(manifest: DataFrame, folder: str, *, id_type: str = "<u2")
                     ["id", "start", "n_tokens", "ids_crc32"],
                 )
 
-    dealt = materialise(manifest).repartition("part")
+    listed = materialise(manifest)
+    # with a number of its own the exchange is not merged for being small: every file is read by a task of its own, as far as hashes allow
+    dealt = listed.repartition(max(1, listed.count()), "part")
     return dealt.mapInArrow(read, "id long, start long, n_tokens long, ids_crc32 long")

@@ -20,6 +20,15 @@ def test_word_by_word_equals_the_library(model):
     assert list(encoder.encode_all(texts)) == brute.token_rows(encoder.tokenizer, texts)
 
 
+def test_common_latin_texts_by_pieces_equal_the_library(model):
+    encoder = WordEncoder(model("word_bpe_49k.json"), 1)
+    draw = random.Random(9)
+    common = [chr(c) for c in range(128)] * 3 + list("ÀÉÖØßéöøÿĀąĲĳŊŋŠžıĸ«»¿¡–—‘’“”„…€£°•") + ["don't", "I'LL", "x're", "'s", "''s", "A1b2", "Straße", "...", " ", " ", "\r\n"]
+    texts = ["".join(draw.choice(common) for _ in range(draw.randint(0, 40))) for _ in range(3000)]
+    assert sum(encoder._split(text) is not None for text in texts) > 2900
+    assert list(encoder.encode_all(texts)) == brute.token_rows(encoder.tokenizer, texts)
+
+
 def test_giant_texts_in_stretches(model, monkeypatch):
     monkeypatch.setattr("plazaframe.llm.word_ids.STRETCH", 50)
     monkeypatch.setattr("plazaframe.llm.word_ids.REMEMBERED", 20)
