@@ -12,8 +12,9 @@ likely to be missed are then 12 of 15 runs, 6 times in 100,000.
 
 Equal texts are one node, whatever their number. Within a group that shares a sketch not all pairs
 are compared. First all members are aligned with one of them, the pivot (the one that shares most with
-others), and the links found make components. Only where a
-group then holds several components, the members outside the pivot's are aligned with those of other components, except
+others), and the links found make components. In each of ``ROUNDS`` further rounds the members outside a group's largest component
+are aligned with one member of it, another one in each group and round, since a text that is similar to some of a component rarely misses all of
+these. Only where a group then still holds several components, the members outside the largest are aligned with those of other components, except
 where two texts are proven dissimilar: by their distances from the pivot (1 - similarity is a metric), or by the runs that no
 other of these texts has. So every pair that shares a
 sketch is aligned, or proven dissimilar, or connected already; nothing is capped. Links make classes by
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 
 from plazaframe.llm.components import components
 from plazaframe.llm.shingles import labelled, mix, word_hashes, word_runs
+from plazaframe.llm.worker import give_back
 from plazaframe.operators.durable import materialise
 
 WORDS = 5
@@ -47,6 +49,8 @@ TAKEN = 5
 SKETCHES = 32
 #: Up to so many runs candidates are exact; at the similarity of 0.8 at most 1 + 14 + 91 sequences a text.
 SHORT = 14
+#: Rounds in which members outside a group's largest component meet one member of it.
+ROUNDS = 2
 #: Runs of a text for which all sketches are computed in one array.
 AT_ONCE = 20_000
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
@@ -146,6 +150,8 @@ def _signatures(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
                 rows.append(made)
             columns = [pa.array([row[i] for row in rows], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.list_(pa.int64())))]
             yield pa.record_batch([batch.column(0), *columns], ["id", "key", "n", "sketches"])
+            del rows, known, columns
+        give_back()
 
     return docs.mapInArrow(run, "id long, key binary, n long, sketches array<long>")
 
@@ -170,6 +176,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, reach: float) -> DataFrame:
                     held, aligner = pivot, Aligner(runs_of(text.as_py()), reach)
                 out.append(aligner.distance(runs_of(other.as_py())))
             yield pa.record_batch([batch["pivot"], batch["key"], pa.array(out, pa.float64())], ["pivot", "key", "distance"])
+        give_back()
 
     with_pivot = pairs.join(texts.select(F.col("key").alias("pivot"), F.col("text").alias("pivot_text")), "pivot")
     with_both = with_pivot.join(texts, "key").select("pivot", "key", "pivot_text", "text")
@@ -190,6 +197,7 @@ def _exclusive(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 part = batch.slice(at, 500)
                 runs = pa.array([runs_of(t.as_py()).view(np.int64) for t in part["text"]], pa.list_(pa.int64()))
                 yield pa.record_batch([part["key"], runs], ["key", "runs"])
+        give_back()
 
     found = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(run, "key binary, runs array<long>")
     runs = found.select(F.xxhash64("key").alias("node"), F.explode("runs").alias("run"))
@@ -197,6 +205,21 @@ def _exclusive(texts: DataFrame, keys: DataFrame) -> DataFrame:
     return single.groupBy("node").agg(F.count("*").alias("own"))
 
 
+def _largest(placed: DataFrame) -> DataFrame:
+    """bucket and main, the root that most of its members have."""
+    return placed.groupBy("bucket", "root").agg(F.count("*").alias("size")).groupBy("bucket").agg(F.max(F.struct("size", "root"))["root"].alias("main"))
+
+
+def _with_the_largest(meets: DataFrame, roots: DataFrame, number: int, limit: float) -> DataFrame:
+    """(pivot, key): members outside the largest component of their group, each with one member of it, drawn by group and ``number``."""
+    placed = meets.join(roots, meets["key"] == roots["node"], "left").select("bucket", "key", "n", F.coalesce("root", "key").alias("root"))
+    placed = placed.join(_largest(placed), "bucket")
+    inside = placed.where("root = main").groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(number), "bucket", "key").alias("draw"), "key", "n")).alias("p"))
+    drawn = inside.select("bucket", F.col("p.key").alias("other"), F.col("p.n").alias("other_n"))
+    outside = placed.where("root <> main").join(drawn, "bucket").where(_apart() <= limit)
+    return outside.select(F.least("key", "other").alias("pivot"), F.greatest("key", "other").alias("key")).distinct()
+
+
 def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of keys whose texts are similar; enough of them to connect each class."""
     limit = 1 - similarity
@@ -218,6 +241,13 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     aligned = materialise(_aligned(first, texts, reach))
     linked = aligned.where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
     roots = materialise(components(linked))
+    met = aligned.select("pivot", "key")
+    for number in range(ROUNDS):
+        pairs = _with_the_largest(meets, roots, number, limit).join(met, ["pivot", "key"], "left_anti")
+        more = materialise(_aligned(pairs, texts, limit))
+        met = met.union(more.select("pivot", "key"))
+        linked = linked.union(more.where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b")))
+        roots = materialise(components(linked))
 
     # what each member is to its pivot, and in which component; a distance that is not known exactly is at least ``low``
     judged = meets.join(aligned, ["pivot", "key"], "left").join(roots, meets["key"] == roots["node"], "left")
@@ -233,7 +263,7 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     open_groups = open_groups.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("node", "own")
     buckets = open_groups.groupBy("key").agg(F.collect_list("bucket").alias("buckets"))  # at most as many as a text has sketches and remainders
     open_groups = materialise(open_groups.join(buckets, "key"))
-    mains = open_groups.where("key = pivot").select("bucket", F.col("root").alias("main"))
+    mains = _largest(open_groups.select("bucket", "root"))
     outside = open_groups.join(mains, "bucket").where("root <> main").drop("main", "pivot")
     other = open_groups.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "common", "root", "known", "low", "buckets")))
     apart_by_pivot = F.greatest(F.col("low") - F.col("other_known"), F.col("other_low") - F.col("known"))
@@ -243,7 +273,7 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     once = F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")  # of the groups that both are in
     pairs = outside.join(other, "bucket").where((F.col("root") != F.col("other_root")) & near_enough & once)
     pairs = pairs.select(F.least("key", "other_key").alias("pivot"), F.greatest("key", "other_key").alias("key")).distinct()
-    pairs = pairs.join(aligned.select("pivot", "key"), ["pivot", "key"], "left_anti")
+    pairs = pairs.join(met, ["pivot", "key"], "left_anti")
     more = _aligned(pairs, texts, limit).where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
     return linked.union(more)
 
