@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plazaframe.llm.word_ids import word_encoder
+from plazaframe.llm.worker import give_back
 from plazaframe.operators.durable import materialise
 
 CAPACITY = 4096
@@ -133,6 +134,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", tex
                     rows.append((doc, piece, at // 4, length, zlib.crc32(own), part, seen[length]))
                     seen[length] += 1
             yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names) if rows else pa.record_batch([pa.array([], t) for t in types], names)
+        give_back()
 
     names = ["id", "piece", "start", "length", "ids_crc32", "part", "number"]
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
