@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from plazaframe.plans import business, engagement, review, user
+from plazaframe.plans.shared import review_answers
 from plazaframe.schemas import COMPLIMENTS
 from plazaframe.sinks.files import write_csv
 from plazaframe.sources.quarantine import open_available
@@ -71,15 +72,20 @@ ASKED = {
 }
 
 
-def answers(topic: str, frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Question name -> answer, for the questions of a topic whose tables are there."""
+def answers(topic: str, frames: Mapping[str, DataFrame], *, read_once: bool = False) -> dict[str, DataFrame]:
+    """Question name -> answer, for the questions of a topic whose tables are there.
+
+    ``read_once`` answers those about reviews from a single reading of the reviews.
+    """
+    if read_once and topic == "review" and {"business", "review"} <= set(frames):
+        return review_answers(frames["business"], frames["review"])
     asked = [q for q in TOPICS[topic] if all(t in frames for t in q.tables)]
     return {q.ask.__name__: q.answer(frames) for q in asked}
 
 
-def write_answers(topic: str, frames: Mapping[str, DataFrame], folder: str, *, single_file: bool = False) -> list[str]:
+def write_answers(topic: str, frames: Mapping[str, DataFrame], folder: str, *, single_file: bool = False, read_once: bool = False) -> list[str]:
     """Answer a topic's questions and write each to ``<folder>/<topic>/<question>``."""
-    found = answers(topic, frames)
+    found = answers(topic, frames, read_once=read_once)
     return [write_csv(df, f"{folder}/{topic}/{name}", single_file=single_file) for name, df in found.items()]
 
 
@@ -91,6 +97,7 @@ def run_questions(
     cache: bool | None = None,
     single_file: bool = False,
     bad_folder: str | None = None,
+    read_once: bool = False,
 ) -> list[str]:
     """Answer everything the available tables allow; returns the folders written.
 
@@ -102,4 +109,4 @@ def run_questions(
     dear = {name: df for name, df in frames.items() if (sources[name].format != "parquet" if cache is None else cache)}
     with held(dear, ASKED) as kept:
         ready = {**frames, **kept}
-        return [path for topic in TOPICS for path in write_answers(topic, ready, folder, single_file=single_file)]
+        return [path for topic in TOPICS for path in write_answers(topic, ready, folder, single_file=single_file, read_once=read_once)]

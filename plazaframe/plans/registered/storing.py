@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plazaframe.functions.measures import rows
 from plazaframe.operators import durable, profiling
-from plazaframe.plans import catalogue, preparation
+from plazaframe.plans import catalogue, preparation, shared
 from plazaframe.plans.registered.registry import query
 from plazaframe.plans.sample_tables import Tables, event_tips, line_reviews, supplier_places
 from plazaframe.schemas import COMPLIMENTS, SCHEMAS
@@ -90,9 +90,7 @@ def _(t: Tables) -> DataFrame:
 _REVIEWS = "SELECT l_orderkey AS review_id, l_partkey AS user_id, l_suppkey AS business_id, l_quantity AS stars, l_extendedprice AS useful, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date FROM lineitem"
 
 
-@query(
-    "review_answers_written",
-    f"""WITH review AS ({_REVIEWS}), place AS (
+_REVIEW_ANSWERS = f"""WITH review AS ({_REVIEWS}), place AS (
          SELECT s_suppkey AS business_id, s_name AS name, n_name AS city, r_name AS state FROM supplier
          JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
        latest AS (SELECT * FROM review QUALIFY row_number() OVER (
@@ -109,31 +107,50 @@ _REVIEWS = "SELECT l_orderkey AS review_id, l_partkey AS user_id, l_suppkey AS b
          WHERE stars = 5 AND contains(state, 'A') ORDER BY useful DESC, review_id, name, city LIMIT 30)
        UNION ALL (SELECT 'cumulative_reviews', business_id::VARCHAR, review_id::VARCHAR,
          row_number() OVER (PARTITION BY business_id ORDER BY date, review_id, stars)::DOUBLE
-         FROM review ORDER BY business_id, date, review_id, stars LIMIT 30)""",
-)
+         FROM review ORDER BY business_id, date, review_id, stars LIMIT 30)"""
+
+
+SHOWN = {
+    "highly_voted_reviews": ("review_id", "business_id", "useful"),
+    "reviews_by_month": ("year_month", "review_count", "round(avg_stars, 9)"),
+    "latest_review_per_place": ("business_id", "review_id", "stars"),
+    "most_reviewed_places": ("business_id", "name", "round(avg_review_stars, 9)"),
+    "five_star_food_reviews": ("name", "city", "useful"),
+    "cumulative_reviews": ("business_id", "review_id", "cumulative_reviews"),
+}
+
+
+def food_frames(t: Tables) -> dict[str, DataFrame]:
+    """Suppliers and lines; the region stands for the categories with 'Food' for 'A'."""
+    categories = F.replace(F.col("state"), F.lit("A"), F.lit("Food"))
+    return {"business": supplier_places(t).withColumn("categories", categories), "review": line_reviews(t)}
+
+
+def in_short(question: str, answer: DataFrame) -> DataFrame:
+    """Two names and a number of each row of an answer."""
+    first, second, number = SHOWN[question]
+    return answer.selectExpr(f"'{question}' AS question", f"string({first}) AS first", f"string({second}) AS second", f"double({number}) AS number")
+
+
+@query("review_answers_written", _REVIEW_ANSWERS)
 def _(t: Tables) -> DataFrame:
     """The six answers about reviews as they stand in the CSV files, each reduced to two names and a number."""
-    categories = F.replace(F.col("state"), F.lit("A"), F.lit("Food"))
-    frames = {"business": supplier_places(t).withColumn("categories", categories), "review": line_reviews(t)}
+    frames = food_frames(t)
     folder = durable.new_folder(t.spark)
-    shown = {
-        "highly_voted_reviews": ("review_id", "business_id", "useful"),
-        "reviews_by_month": ("year_month", "review_count", "round(avg_stars, 9)"),
-        "latest_review_per_place": ("business_id", "review_id", "stars"),
-        "most_reviewed_places": ("business_id", "name", "round(avg_review_stars, 9)"),
-        "five_star_food_reviews": ("name", "city", "useful"),
-        "cumulative_reviews": ("business_id", "review_id", "cumulative_reviews"),
-    }
     answers = catalogue.answers("review", frames)
     told = []
     for path in catalogue.write_answers("review", frames, folder):
         question = path.rsplit("/", 1)[1]
-        first, second, number = shown[question]
-        back = t.spark.read.schema(answers[question].schema).csv(path, header=True)
-        told.append(back.selectExpr(f"'{question}' AS question", f"string({first}) AS first", f"string({second}) AS second", f"double({number}) AS number"))
+        told.append(in_short(question, t.spark.read.schema(answers[question].schema).csv(path, header=True)))
     return profiling.stacked(told)
 
 
+@query("shared_review_answers", _REVIEW_ANSWERS)
+def _(t: Tables) -> DataFrame:
+    """The same six answers from one reading of the lines."""
+    return profiling.stacked(in_short(name, df) for name, df in shared.review_answers(**food_frames(t)).items())
+
+
 @query(
     "prepare_all",
     """SELECT 'customer' AS "table", c_custkey AS key, round((c_acctbal - min(c_acctbal) OVER ()) / (max(c_acctbal) OVER () - min(c_acctbal) OVER ()), 8) AS scaled,
