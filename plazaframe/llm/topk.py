@@ -15,7 +15,8 @@ k of these stay for each query.
 
 Vectors that are null or hold null or non-finite components take no part, nor do rows without id;
 vectors of another length than the queries' are not comparable and give no score. A vector's own id
-is left out of its answers; rows repeated under one id count once, with their best score. Components
+is left out of its answers; rows repeated under one id count once, with their best score. An empty table on either side gives
+no rows; other columns are ignored, whatever their names. Components
 and scores that a 64-bit integer cannot hold become the nearest one it holds.
 """
 
@@ -147,7 +148,9 @@ def exact_topk(vectors: DataFrame, queries: DataFrame, k: int, *, id_col: str =
     index = materialise(_blocks(_whole(vectors, id_col, vector_col, scale), BLOCK))
     asked = materialise(_blocks(_whole(queries, id_col, vector_col, scale), QUERIES))
     n = asked.count()
-    asked = asked.select(F.row_number().over(Window.orderBy("block")).alias("ask"), F.col("data").alias("asked")) if n else asked.select(F.lit(0).alias("ask"), F.col("data").alias("asked"))
+    # only the blocks' names are numbered in one task; the vectors stay where they are
+    numbered = materialise(asked.select("block", F.row_number().over(Window.orderBy("block")).alias("ask")))
+    asked = asked.join(numbered, "block").select("ask", F.col("data").alias("asked"))
     pairs = index.withColumn("ask", F.explode(F.sequence(F.lit(1), F.lit(max(n, 1))))).repartition("block", "ask").join(asked, "ask")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
