@@ -3,6 +3,11 @@
 Each stage takes all documents its predecessor kept, as written to Parquet, and all but the last
 return the columns of ``documents``. SQL cannot express compression sizes, rolling hashes, sketches
 and tokenizers, so there is no SQL for the result; the tests hold each stage against a plain version.
+
+Null and empty texts have no language and go in the first stage, as do texts without letters. A null lang is filled in with the predicted one; a
+null source stays null. Rows with a null id are documents like any other and come after all others where the first of several is kept. Rows repeated under
+one id are one class of near duplicates, of which one row stays. Very long texts are worked on whole; packing cuts them into pieces. An
+empty table gives an empty result. Columns of the input beyond those of ``documents`` are dropped by the first stage, whatever their names.
 """
 
 from __future__ import annotations
