@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,8 +22,8 @@ from plazaframe.sources.tables import held
        FROM orders GROUP BY o_orderpriority""",
 )
 def _(t: Tables) -> DataFrame:
-    """Keys so large that their sum does not fit a long."""
-    large = t.orders.select("o_orderpriority", (F.col("o_orderkey") * F.lit(10_000_000_000_000)).alias("key"))
+    """Keys so large that their sum does not fit a long, and in large tables the keys themselves do not."""
+    large = t.orders.select("o_orderpriority", (F.col("o_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10_000_000_000_000))).alias("key"))
     return aggregate.group_stats(large, ["o_orderpriority"], means={"mean_key": "key"})
 
 
