@@ -11,11 +11,11 @@ runs also share each sequence that is left of them without the runs a similar te
 likely to be missed are then 12 of 15 runs, 6 times in 100,000.
 
 Equal texts are one node, whatever their number. Within a group that shares a sketch not all pairs
-are compared. First all members are aligned with one of them, the pivot (the one that shares most with
-others), and the links found make components. Only where a
-group then holds several components, the members outside the pivot's are aligned with those of other components, except
-where two texts are proven dissimilar: by their distances from the pivot (1 - similarity is a metric), or by the runs that no
-other of these texts has. So every pair that shares a
+are aligned. First all members are aligned with one of them, the pivot (the one that shares most with
+others), and the links found make components. Only where a group then holds several components, its members are reduced to how they differ from
+the runs that most members of their pivot's groups have. Those differences tell of any pair how many runs it shares at most: members
+with few differences are aligned with the one that has the fewest, and a member that is still outside meets the likeliest text of each other
+component, and if that fails all those texts of it that the differences leave possible. So every pair that shares a
 sketch is aligned, or proven dissimilar, or connected already; nothing is capped. Links make classes by
 connected components, and a class is named by its smallest id.
 
@@ -27,14 +27,15 @@ An empty table gives no rows. Columns that are not named are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaframe.llm.components import components
@@ -50,6 +51,8 @@ SKETCHES = 32
 SHORT = 14
 #: Runs of a text for which all sketches are computed in one array.
 AT_ONCE = 20_000
+#: Members, and runs in which they differ from the rest of their group, on one side of a block.
+BLOCK, BLOCK_RUNS = 250, 500_000
 _SEEDS = mix(np.arange(1, SKETCHES + 1, dtype=np.uint64))
 
 
@@ -110,7 +113,7 @@ class Aligner:
     def distance(self, other: np.ndarray) -> float:
         """1 - c / (n + m - c); any value above ``reach`` means at least ``reach``."""
         total = self.n + len(other)
-        band = int(total * self.reach / (2 - self.reach))  # insertions and deletions within reach
+        band = int(total * self.reach / (2 - self.reach) + 1e-9)  # insertions and deletions within reach
         place = np.searchsorted(self.ordered, other)
         place[place == self.n] = 0
         hit = self.ordered[place] == other
@@ -180,13 +183,8 @@ def _aligned(pairs: DataFrame, texts: DataFrame, reach: float) -> DataFrame:
     return with_both.mapInArrow(run, "pivot binary, key binary, distance double")
 
 
-def _apart() -> Column:
-    """How far apart two texts are at least, by their lengths alone."""
-    return 1 - F.least("n", "other_n") / F.greatest("n", "other_n")
-
-
-def _exclusive(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """node (a hash of the key) and how many of its runs no other of these texts has; texts without such runs are left out."""
+def _runs(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """key and labelled runs of some texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,16 +194,98 @@ def _exclusive(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 yield pa.record_batch([part["key"], runs], ["key", "runs"])
         give_back()
 
-    found = texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(run, "key binary, runs array<long>")
-    runs = found.select(F.xxhash64("key").alias("node"), F.explode("runs").alias("run"))
-    single = runs.groupBy("run").agg(F.count("*").alias("texts"), F.min("node").alias("node")).where("texts = 1")
-    return single.groupBy("node").agg(F.count("*").alias("own"))
+    return texts.join(keys, "key", "left_semi").select("key", "text").mapInArrow(run, "key binary, runs array<long>")
+
+
+def _differences(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """How each member (pivot, key, n) of a pivot's groups differs from what most of its members have in common.
+
+    ``differs`` are the runs that only the member or only the common set has, without those that tell no two members alike; ``far`` is the
+    number of all of them less the member's part of the differences a similar pair may have. With x runs among the differences of both, two
+    members have all their differences but 2x between them, so they can be similar only if x is at least half the sum of their ``far``.
+    """
+    sized = materialise(members.join(members.groupBy("pivot").agg(F.count("*").alias("members")), "pivot"))
+    whole = sized.join(materialise(_runs(texts, members.select("key").distinct())), "key")
+    counted = whole.select("pivot", "members", F.explode("runs").alias("run")).groupBy("pivot", "run")
+    counted = counted.agg(F.count("*").alias("having"), F.first("members").alias("members"))
+    counted = materialise(counted.where("having > 1"))  # a run of one member tells no two alike, and is not common
+    common = F.col("having") * 2 > F.col("members")
+    core = counted.where(common).groupBy("pivot").agg(F.collect_list("run").alias("core"))  # at most twice the runs of a member
+    telling = counted.where(F.when(common, F.col("members") - F.col("having")).otherwise(F.col("having")) > 1).select("pivot", "run")
+    core_runs = F.coalesce("core", F.array().cast("array<long>"))
+    against = F.concat(F.array_except("runs", core_runs), F.array_except(core_runs, "runs"))
+    found = whole.join(core, "pivot", "left").select("pivot", "key", "n", against.alias("against"))
+    far = F.size("against") - F.col("n") * F.lit((1 - similarity) / (1 + similarity))
+    found = materialise(found.select("pivot", "key", far.alias("far"), "against"))
+    shared = found.select("pivot", "key", F.explode("against").alias("run")).join(telling, ["pivot", "run"], "left_semi")
+    shared = shared.groupBy("pivot", "key").agg(F.collect_list("run").alias("differs"))
+    return found.drop("against").join(shared, ["pivot", "key"], "left").withColumn("differs", F.coalesce("differs", F.array().cast("array<long>")))
+
+
+def _block_pairs(every: bool) -> Callable[[pa.Table], pa.Table]:
+    """Of one block, the pairs of an outside member and one of another component that their differences do not prove dissimilar.
+
+    Without ``every`` only the likeliest pair for each outside member and component.
+    """
+
+    def run(block: pa.Table) -> pa.Table:
+        outside = block["outside"].to_numpy()
+        root = block["root"].combine_chunks().dictionary_encode().indices.to_numpy()
+        far, sizes = block["far"].to_numpy(), pc.list_value_length(block["differs"]).to_numpy()
+        runs = np.split(pc.list_flatten(block["differs"]).to_numpy(), np.cumsum(sizes)[:-1])
+        others = np.flatnonzero(~outside)
+        owners = np.repeat(np.arange(len(others)), sizes[others])
+        held = np.concatenate([runs[i] for i in others] or [np.empty(0, np.int64)])
+        order = np.argsort(held, kind="stable")
+        held, owners = held[order], owners[order]
+        a, b, margin = [], [], []
+        for i in np.flatnonzero(outside):
+            start, end = np.searchsorted(held, runs[i], "left"), np.searchsorted(held, runs[i], "right")
+            met = [owners[x:y] for x, y in zip(start, end, strict=True) if x < y]
+            both = np.bincount(np.concatenate(met) if met else np.empty(0, np.int64), minlength=len(others))
+            spare = both - (far[i] + far[others]) / 2
+            found = np.flatnonzero((spare >= -1e-6) & (root[others] != root[i]))
+            if not every:
+                found = found[np.argsort(-spare[found], kind="stable")]
+                found = found[np.unique(root[others[found]], return_index=True)[1]]
+            a += [i] * len(found)
+            b += others[found].tolist()
+            margin += spare[found].tolist()
+        pairs = [block["key"].take(pa.array(a, pa.int64())), block["key"].take(pa.array(b, pa.int64())), block["root"].take(pa.array(b, pa.int64()))]
+        return pa.table([*pairs, pa.array(margin, pa.float64())], ["a", "b", "root", "margin"])
+
+    return run
+
+
+def _unproven(outside: DataFrame, members: DataFrame, every: bool) -> DataFrame:
+    """Pairs (a, b) of outside members with members of other components, that may be similar, with the root of b.
+
+    Both sides of a pivot's groups are dealt into parts of about ``BLOCK`` members, or ``BLOCK_RUNS`` differing runs, and each part meets each,
+    so that a block has a size of its own and the blocks of a large group are many tasks.
+    """
+
+    def parts(df: DataFrame, out: str) -> DataFrame:
+        runs = F.sum(F.size("differs"))
+        return df.groupBy("pivot").agg(F.ceil(F.greatest(F.count("*") / BLOCK, runs / BLOCK_RUNS)).cast("int").alias(out))
+
+    dealt = materialise(parts(outside, "lefts").join(parts(members, "rights"), "pivot"))
+
+    def side(df: DataFrame, left: bool) -> DataFrame:
+        own, other = ("lefts", "rights") if left else ("rights", "lefts")
+        at = F.pmod(F.xxhash64("key"), own).cast("int").alias("at")
+        meets = F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias("meets")
+        placed = df.join(dealt, "pivot").select("pivot", "key", "root", "far", "differs", at, meets)
+        i, j = ("at", "meets") if left else ("meets", "at")
+        return placed.select("pivot", F.col(i).alias("i"), F.col(j).alias("j"), "key", "root", "far", "differs", F.lit(left).alias("outside"))
+
+    blocks = side(outside, True).union(side(members, False)).groupBy("pivot", "i", "j")
+    found = blocks.applyInArrow(_block_pairs(every), "a binary, b binary, root binary, margin double")
+    return found if every else found.groupBy("a", "root").agg(F.max_by("b", F.struct("margin", "b")).alias("b"))
 
 
 def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Pairs (a, b) of keys whose texts are similar; enough of them to connect each class."""
     limit = 1 - similarity
-    reach = min(1.0, 2 * limit)
     nodes = signatures.where("key IS NOT NULL").groupBy("key")
     groups = nodes.agg(F.first("sketches").alias("sketches")).select("key", F.explode("sketches").alias("bucket"))
     shared = groups.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
@@ -216,41 +296,45 @@ def links(docs: DataFrame, signatures: DataFrame, similarity: float = SIMILARITY
     members = materialise(members.join(facts, "key").select("bucket", "key", "n", "central"))
     texts = materialise(_keyed_texts(docs).join(members.select("key").distinct(), "key", "left_semi"))
 
+    def similar(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose alignment says so."""
+        ends = pairs.select(F.col("a").alias("pivot"), F.col("b").alias("key"))
+        return _aligned(ends, texts, limit).where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
+
+    def rooted(df: DataFrame, roots: DataFrame) -> DataFrame:
+        return df.join(roots, df["key"] == roots["node"], "left").select(*df.columns, F.coalesce("root", "key").alias("root"))
+
     pivots = members.groupBy("bucket").agg(F.max(F.struct("central", "key", "n")).alias("p"))
     pivots = pivots.select("bucket", F.col("p.key").alias("pivot"), F.col("p.n").alias("other_n"))
-    meets = materialise(members.join(pivots, "bucket").select("bucket", "pivot", "key", "n", _apart().alias("apart")))
-    first = meets.where((F.col("key") != F.col("pivot")) & (F.col("apart") <= limit)).select("pivot", "key").distinct()
-    aligned = materialise(_aligned(first, texts, reach))
-    linked = aligned.where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-    roots = materialise(components(linked))
-
-    # what each member is to its pivot, and in which component; a distance that is not known exactly is at least ``low``
-    judged = meets.join(aligned, ["pivot", "key"], "left").join(roots, meets["key"] == roots["node"], "left")
-    known = F.when(F.col("key") == F.col("pivot"), F.lit(0.0)).when(F.col("distance") < reach, F.col("distance"))
-    # least() skips nulls, but a pair that was not aligned has its lengths only
-    low = F.coalesce(known, F.when(F.col("distance").isNull(), F.col("apart")).otherwise(F.greatest("apart", F.least("distance", F.lit(reach)))))
-    judged = judged.select("bucket", "pivot", "key", "n", F.coalesce("root", "key").alias("root"), known.alias("known"), low.alias("low"))
+    meets = materialise(members.join(pivots, "bucket").select("bucket", "pivot", "key", "n", "other_n"))
+    apart = 1 - F.least("n", "other_n") / F.greatest("n", "other_n")  # at least, by their lengths alone
+    first = meets.where((F.col("key") != F.col("pivot")) & (apart <= limit)).select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
+    linked = materialise(similar(first))
+
+    # groups in several components; those of one pivot are worked on together
+    judged = rooted(meets.select("bucket", "pivot", "key", "n"), materialise(components(linked)))
     several = judged.groupBy("bucket").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least <> most").select("bucket")
-    open_groups = materialise(judged.join(several, "bucket", "left_semi"))
-    # runs that only one of these texts has cannot be shared, which bounds the similarity of any pair
-    own = materialise(_exclusive(texts, open_groups.select("key").distinct()))
-    open_groups = open_groups.withColumn("node", F.xxhash64("key")).join(own, "node", "left")
-    open_groups = open_groups.withColumn("common", F.col("n") - F.coalesce("own", F.lit(0))).drop("node", "own")
-    buckets = open_groups.groupBy("key").agg(F.collect_list("bucket").alias("buckets"))  # at most as many as a text has sketches and remainders
-    open_groups = materialise(open_groups.join(buckets, "key"))
-    mains = open_groups.where("key = pivot").select("bucket", F.col("root").alias("main"))
-    outside = open_groups.join(mains, "bucket").where("root <> main").drop("main", "pivot")
-    other = open_groups.select("bucket", *(F.col(c).alias(f"other_{c}") for c in ("key", "n", "common", "root", "known", "low", "buckets")))
-    apart_by_pivot = F.greatest(F.col("low") - F.col("other_known"), F.col("other_low") - F.col("known"))
-    most = F.least("common", "other_common")
-    apart_by_runs = 1 - most / (F.col("n") + F.col("other_n") - most)
-    near_enough = (_apart() <= limit) & (apart_by_runs <= limit + 1e-9) & ~F.coalesce(apart_by_pivot > limit + 1e-9, F.lit(False))
-    once = F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")  # of the groups that both are in
-    pairs = outside.join(other, "bucket").where((F.col("root") != F.col("other_root")) & near_enough & once)
-    pairs = pairs.select(F.least("key", "other_key").alias("pivot"), F.greatest("key", "other_key").alias("key")).distinct()
-    pairs = pairs.join(aligned.select("pivot", "key"), ["pivot", "key"], "left_anti")
-    more = _aligned(pairs, texts, limit).where(F.col("distance") <= limit).select(F.col("pivot").alias("a"), F.col("key").alias("b"))
-    return linked.union(more)
+    judged = materialise(judged.join(several, "bucket", "left_semi").select("pivot", "key", "n", "root").distinct())
+    differing = materialise(_differences(judged.select("pivot", "key", "n"), texts, similarity).join(judged.select("pivot", "key", "root"), ["pivot", "key"]))
+
+    # any two members that are similar whatever runs they share are so to the one with the fewest differences
+    nearest = differing.groupBy("pivot").agg(F.min(F.struct("far", "key", "root")).alias("nearest"))
+    nearest = materialise(nearest.select("pivot", F.col("nearest.key").alias("a"), F.col("nearest.far").alias("a_far"), F.col("nearest.root").alias("a_root")))
+    star = differing.join(nearest, "pivot").where((F.col("far") + F.col("a_far") <= 1e-6) & (F.col("root") != F.col("a_root")))
+    star = materialise(similar(star.select("a", F.col("key").alias("b")).distinct()))
+    linked = materialise(linked.union(star))
+
+    # the members outside the component of that one against those of other components
+    now = materialise(rooted(differing.drop("root"), materialise(components(linked))))
+    mains = rooted(nearest.select("pivot", F.col("a").alias("key")), now.select(F.col("key").alias("node"), "root").distinct())
+    outside = materialise(now.join(mains.select("pivot", F.col("root").alias("main")), "pivot").where("root <> main").drop("main"))
+    likeliest = materialise(_unproven(outside, now, False))
+    joined = materialise(similar(likeliest.select("a", "b").distinct()))
+    # runs in another order can make the likeliest pair dissimilar; then the member meets all of that component
+    failed = materialise(likeliest.join(joined, ["a", "b"], "left_anti").select("a", "root"))
+    again = outside.join(failed.select(F.col("a").alias("key")), "key", "left_semi")
+    rest = _unproven(again, now, True).join(failed, ["a", "root"], "left_semi").select("a", "b").distinct()
+    return linked.union(joined).union(similar(rest))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

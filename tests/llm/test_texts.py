@@ -4,6 +4,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from plazaframe.llm import components, language, line_crf, lines, near, shingles
 from pyspark.sql import functions as F
@@ -165,6 +166,61 @@ def test_a_pair_not_aligned_with_the_pivot_is_not_ruled_out(spark):
     assert frozenset((near.text_key(rows[1][1]), near.text_key(rows[2][1]))) in found
 
 
+def counted_alignments(spark, monkeypatch, texts):
+    """The classes of texts (id -> text), and how many pairs were aligned for them."""
+    aligned, plain = [], near._aligned
+
+    def counting(pairs, *rest):
+        aligned.append(pairs.count())
+        return plain(pairs, *rest)
+
+    monkeypatch.setattr(near, "_aligned", counting)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    return {r.id: r.class_id for r in near.near_duplicates(df).collect()}, sum(aligned)
+
+
+def test_copies_just_below_the_threshold_are_not_aligned_pair_by_pair(spark, monkeypatch):
+    """Copies of one text with so many edits each that most pairs are a little less similar than the threshold."""
+    base, texts = sentence(150), {}
+    for i in range(240):
+        words = base.split()
+        for at in DRAW.sample(range(150), 1 + i % 4):
+            words[at] = f"w{i}x{at}"
+        texts[i] = " ".join(words)
+    got, aligned = counted_alignments(spark, monkeypatch, texts)
+    assert got == brute.near_classes(texts)
+    assert aligned < 8 * len(texts)
+
+
+def test_copies_with_passages_in_another_order(spark):
+    """The same runs in other orders: the likeliest text of a component is not similar, another one is."""
+    parts, texts = [sentence(40) for _ in range(4)], {}
+    for i, order in enumerate([(0, 1, 2, 3), (1, 0, 2, 3), (2, 3, 0, 1), (3, 2, 1, 0), (0, 2, 1, 3)] * 3):
+        words = " ".join(parts[k] for k in order).split()
+        for at in DRAW.sample(range(160), i // 5):
+            words[at] = f"w{i}x{at}"
+        texts[i] = " ".join(words)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r.id: r.class_id for r in near.near_duplicates(df).collect()} == brute.near_classes(texts)
+
+
+def test_block_pairs_equal_all_pairs():
+    rows = [{"key": bytes([i]), "root": bytes([i % 7]), "far": DRAW.uniform(-3, 9), "differs": DRAW.sample(range(20), DRAW.randint(0, 12)), "outside": i < 15} for i in range(40)]
+    fields = [("key", pa.binary()), ("root", pa.binary()), ("far", pa.float64()), ("differs", pa.list_(pa.int64())), ("outside", pa.bool_())]
+    block = pa.Table.from_pylist(rows, pa.schema(fields))
+    wanted = set()
+    for x in rows[:15]:
+        for y in rows[15:]:
+            spare = len(set(x["differs"]) & set(y["differs"])) - (x["far"] + y["far"]) / 2
+            if x["root"] != y["root"] and spare >= 0:
+                wanted.add((x["key"], y["key"], y["root"], round(spare, 6)))
+    every = {(r["a"], r["b"], r["root"], round(r["margin"], 6)) for r in near._block_pairs(True)(block).to_pylist()}
+    assert every == wanted and wanted
+    best = [(r["a"], r["root"], round(r["margin"], 6)) for r in near._block_pairs(False)(block).to_pylist()]
+    likeliest = {(a, root): max(m for x, _, z, m in wanted if (x, z) == (a, root)) for a, _, root, _ in wanted}
+    assert sorted(best) == sorted((a, root, m) for (a, root), m in likeliest.items())
+
+
 def test_short_texts_are_always_candidates():
     """Every pair of short texts at the threshold or above it shares a bucket, 4 against 5 runs among them."""
     for n in range(1, near.SHORT + 1):
@@ -216,6 +272,13 @@ def test_alignment_equals_the_table():
         assert got == wanted if wanted <= 0.4 else got >= 0.4
 
 
+def test_alignment_of_texts_exactly_at_the_threshold():
+    """4 of 5 runs with the odd one at the beginning: the band is exactly one run wide."""
+    runs = np.arange(1, 6, dtype=np.uint64)
+    limit = 1 - near.SIMILARITY
+    assert near.Aligner(runs, limit).distance(runs[1:]) <= limit
+
+
 def test_near_duplicates_of_awkward_rows(spark, docs):
     got = sorted(((r.id, r.class_id) for r in near.near_duplicates(docs).collect()), key=repr)
     assert got == sorted(((r.doc_id, r.doc_id) for r in docs.collect()), key=repr)
