@@ -233,3 +233,27 @@ def test_bulk_paths_set_bad_lines_aside(spark, tmp_path):
     assert prepared["tip"].frame.count() == 1
     assert [r["line"] for r in spark.read.json(str(tmp_path / "bad" / "tip")).collect()] == ["broken"]
     assert [(r["table"], r["rows"], r["bad"]) for r in spark.read.parquet(str(tmp_path / "bad" / "report")).collect()] == [("tip", 1, 1)]
+
+
+def test_same_rows_counts_copies(spark):
+    from plazaframe.plans.registered.storing import same_rows
+
+    one, two = spark.createDataFrame([(1, None), (1, None), (2, "a")], "x long, y string"), spark.createDataFrame([("1", ""), ("2", "a"), ("1", None)], "x string, y string")
+    assert same_rows(one, two) and same_rows(one.where("false"), two.where("false"))
+    assert not same_rows(one, two.where("y IS NOT NULL")) and not same_rows(one.where("x = 2"), two) and not same_rows(one, two.where("x = 2"))
+
+
+def test_run_everything_parses_no_lines_for_single_answers(spark, monkeypatch):
+    import __spark_entry__ as entry_points
+    from plazaframe.plans import catalogue
+
+    read, plain = {}, catalogue.answers
+
+    def asked(topic, frames, **how):
+        read[topic] = {file.rsplit(".", 1)[-1] for df in frames.values() for file in df.inputFiles()}  # the last call is that of the comparison
+        return plain(topic, frames, **how)
+
+    monkeypatch.setattr(catalogue, "answers", asked)
+    found = entry_points.queries()["run_everything"](spark, entry_points.SMALL).collect()
+    assert all((r.answered, r.equal) == (6, 6) for r in found)
+    assert read == {topic: {"parquet"} for topic in catalogue.TOPICS}
